@@ -14,6 +14,7 @@ fingerprints at most, so no task ever gathers an unbounded group. A bucket yield
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,35 +30,73 @@ from lexloom.llm.components import connected_components
 SEED = 42
 
 
-def fingerprint_of(text: bytes | None, shingle: int = 4) -> int:
-    """The unsigned 64-bit fingerprint of a UTF-8 text; 0 for null and for a text without words."""
+#: The four longs of a 256-bit fingerprint.
+WIDE = ["w0", "w1", "w2", "w3"]
+
+
+def shingle_hashes(text: bytes | None, shingle: int, distinct: bool = False) -> np.ndarray:
+    """XXH64 (seed 42) of a UTF-8 text's word shingles in order; A-Z count as a-z. No words: no hashes."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     if len(words) <= shingle:
         parts = [b" ".join(words)]
+    elif shingle == 1:
+        parts = words
     else:
         parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(x, SEED) for x in parts], dtype=">u8")
+    return np.array([digest(x, SEED) for x in (set(parts) if distinct else parts)], dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The unsigned 64-bit number with the bits set that over half the hashes set; 0 without hashes."""
     ones = np.zeros(64, dtype=np.int64)
     for start in range(0, len(hashes), 1 << 15):
-        block = hashes[start : start + (1 << 15)].view(np.uint8).reshape(-1, 8)
+        block = hashes[start : start + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprint_udf(shingle: int = 4):
+def fingerprint_of(text: bytes | None, shingle: int = 4, distinct: bool = False) -> int:
+    """The unsigned 64-bit fingerprint of a UTF-8 text; 0 for null and for a text without words."""
+    return majority(shingle_hashes(text, shingle, distinct))
+
+
+def fingerprint_udf(shingle: int = 4, distinct: bool = False):
     """Arrow UDF text -> fingerprint as a signed long."""
 
     @F.arrow_udf(T.LongType())
     def simhash(text: pa.Array) -> pa.Array:
-        values = (fingerprint_of(x.as_py(), shingle) for x in text.cast(pa.binary()))
+        values = (fingerprint_of(x.as_py(), shingle, distinct) for x in text.cast(pa.binary()))
         return pa.array(np.fromiter(values, dtype=np.uint64, count=len(text)).view(np.int64))
 
     return simhash
 
 
+def wide_fingerprint(text: bytes | None, shingle: int = 5) -> list[int]:
+    """Four fingerprints over a text's distinct shingles, by independent mixes of their hashes."""
+    hashes = shingle_hashes(text, shingle, True)
+    out = [majority(hashes)]
+    for turn in range(1, 4):
+        x = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(majority(x ^ (x >> np.uint64(31))))
+    return out
+
+
+def wide_udf(shingle: int = 5):
+    """Arrow UDF text -> struct of the four longs of the wide fingerprint."""
+
+    @F.arrow_udf(T.StructType([T.StructField(x, T.LongType()) for x in WIDE]))
+    def wide(text: pa.Array) -> pa.Array:
+        values = np.array([wide_fingerprint(x.as_py(), shingle) for x in text.cast(pa.binary())], dtype=np.uint64)
+        return pa.StructArray.from_arrays(list(values.reshape(-1, 4).view(np.int64).T.copy()), names=WIDE)
+
+    return wide
+
+
 def covering_masks(radius: int, turn: int = 0, bits: int = 64) -> list[int]:
     """The covering masks over ``bits`` positions as unsigned integers; ``turn`` deals the vectors out differently."""
     vectors = (1 << (radius + 1)) - 1
@@ -70,37 +109,42 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(fingerprints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Spanning forest (fingerprint, nearest earlier one in its tree) of the links within one bucket.
+def forest(ids: np.ndarray, fps: np.ndarray, radius: int, wide: np.ndarray | None = None, wide_radius: int = 0) -> list[tuple[int, int]]:
+    """Spanning forest (id, id that took it along) of the links within one bucket.
 
-    Breadth first: a vertex takes along all unvisited ones within the radius, so a dense group costs one pass.
+    Breadth first: a vertex takes along all unvisited ones that link to it, so a dense group costs one pass.
     """
-    left = np.unique(fingerprints)
+    _, first = np.unique(ids, return_index=True)
+    left = first
     edges = []
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop(0)
-            near = np.bitwise_count(left ^ at) <= radius
+            near = np.bitwise_count(fps[left] ^ fps[at]) <= radius
+            if wide is not None:
+                near &= np.bitwise_count(wide[left] ^ wide[at]).sum(axis=1) <= wide_radius
             if near.any():
                 found = left[near]
                 left = left[~near]
-                edges += [(int(x), int(at)) for x in found]
+                edges += [(int(ids[x]), int(ids[at])) for x in found]
                 queue += list(found)
     return edges
 
 
-def _forest_batches(radius: int):
+def _forest_batches(radius: int, wide_radius: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
             ends = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            edges = [e for a, b in zip(ends[:-1], ends[1:], strict=True) for e in forest(values[a:b], radius)]
+            fields = [x.to_numpy(zero_copy_only=False) for x in lists.values.flatten()]
+            ids, fps = fields[0], fields[1].view(np.uint64)
+            wide = None if wide_radius is None else np.stack(fields[2:], axis=1).view(np.uint64)
+            edges = []
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                edges += forest(ids[a:b], fps[a:b], radius, None if wide is None else wide[a:b], wide_radius or 0)
             u, v = zip(*edges, strict=True) if edges else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (u, v)], names=["u", "v"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return run
 
@@ -111,35 +155,53 @@ def _repeated(keys: DataFrame) -> DataFrame:
     return keys.join(written(counts, "simhash-buckets"), "bucket")
 
 
-def _groups(keys: DataFrame) -> DataFrame:
-    return keys.groupBy("bucket").agg(F.collect_list("fp").alias("fps")).select("fps")
+def _grouped(keys: DataFrame, columns: list[str]) -> DataFrame:
+    return keys.groupBy("bucket").agg(F.collect_list(F.struct(*columns)).alias("members")).select("members")
+
 
+def links(nodes: DataFrame, radius: int = 4, wide_radius: int | None = None, bucket_limit: int = 4096) -> DataFrame:
+    """nodes(id, fp [, w0..w3]) -> edges (u, v) of ids whose components are those of all links.
 
-def links(fingerprints: DataFrame, radius: int = 4, bucket_limit: int = 4096) -> DataFrame:
-    """fp (distinct longs) -> edges (u, v) at ``radius`` bits or less whose components are those of all links."""
+    With ``wide_radius`` a link also needs 256-bit fingerprints w0..w3 at that many bits or less.
+    """
     first, second = covering_masks(radius), covering_masks(radius, turn=1)
     full = (1 << 64) - 1
-    keyed = fingerprints.select(
-        "fp",
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("table"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("bucket")) for i, m in enumerate(first)])
-        ).alias("k"),
-    ).select("fp", "k.table", "k.bucket")
+    keys = [F.struct(F.lit(i).alias("turn"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("bucket")) for i, m in enumerate(first)]
+    keyed = nodes.select("id", "fp", F.explode(F.array(*keys)).alias("k")).select("id", "fp", "k.turn", "k.bucket")
     members = written(_repeated(keyed), "simhash-members")
-    # masks of the second turn over what the table of the first turn left free, looked up by table
+    # masks of the second turn over what the table of the first turn left free, by table
     finer = F.array(*[F.array(*[F.lit(_signed(m | (s & (full ^ m)))) for s in second]) for m in first])
     refined = (
         members.filter(F.col("n") > bucket_limit)
-        .select("fp", "bucket", F.posexplode(F.element_at(finer, F.col("table") + 1)).alias("turn", "mask"))
-        .select("fp", F.xxhash64("bucket", "turn", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"))
+        .select("id", "fp", "bucket", F.posexplode(F.element_at(finer, F.col("turn") + 1)).alias("turn", "mask"))
+        .select("id", "fp", F.xxhash64("bucket", "turn", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"))
     )
-    groups = _groups(members.filter(F.col("n") <= bucket_limit)).union(_groups(_repeated(refined)))
-    return groups.mapInArrow(_forest_batches(radius), "u long, v long").distinct()
+    small, columns = members.filter(F.col("n") <= bucket_limit).select("id", "fp", "bucket"), ["id", "fp"]
+    large = _repeated(refined).select("id", "fp", "bucket")
+    if wide_radius is not None:
+        columns += WIDE
+        extra = nodes.select("id", *WIDE)
+        small, large = small.join(extra, "id"), large.join(extra, "id")
+    groups = _grouped(small, columns).union(_grouped(large, columns))
+    return groups.mapInArrow(_forest_batches(radius, wide_radius), "u long, v long").distinct()
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = 4, text: str = "text", name: str = "fp") -> DataFrame:
+def with_fingerprint(docs: DataFrame, shingle: int = 4, distinct: bool = False, text: str = "text", name: str = "fp") -> DataFrame:
     """docs with a long column ``name``: the fingerprint of ``text``. Other columns pass through untouched."""
-    return docs.withColumn(name, fingerprint_udf(shingle)(F.col(text)))
+    return docs.withColumn(name, fingerprint_udf(shingle, distinct)(F.col(text)))
+
+
+def _classes(marked: DataFrame, node: list[str], radius: int, wide_radius: int | None, bucket_limit: int) -> DataFrame:
+    """marked(doc_id, *node) -> (doc_id, fp, component_id)."""
+    distinct = marked.groupBy(*node).agg(F.min("doc_id").alias("first_id"))
+    distinct = written(distinct.withColumn("id", F.col("fp") if len(node) == 1 else F.xxhash64(*node)), "simhash-distinct")
+    edges = links(distinct.select("id", *node), radius, wide_radius, bucket_limit)
+    reach = written(connected_components(edges), "simhash-reach")
+    rooted = distinct.join(reach.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rooted = written(rooted.select(*node, "first_id", "component"), "simhash-rooted")
+    least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-least")
+    classes = written(rooted.join(least, "component").select(*node, "component_id"), "simhash-classes")
+    return marked.join(classes, node).select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_limit: int = 4096) -> DataFrame:
@@ -150,15 +212,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_l
     columns are ignored.
     """
     marked = written(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "simhash-fp")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    reach = written(connected_components(links(distinct.select("fp"), radius, bucket_limit)), "simhash-reach")
-    rooted = distinct.join(reach.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
-    rooted = written(rooted, "simhash-rooted")
-    least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-least")
-    classes = written(rooted.join(least, "component").select("fp", "component_id"), "simhash-classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return _classes(marked, ["fp"], radius, None, bucket_limit)
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, radius: int = 6, bucket_limit: int = 4096) -> DataFrame:
+    """Groups of documents alike in their five-word shingles: doc_id, fp, component_id as in near_duplicates.
+
+    Candidates are all pairs whose fingerprints over distinct words are within ``radius`` bits (an edit moves such
+    a fingerprint a fifth as far as one over five-word shingles). A candidate links if the angle between 256-bit
+    fingerprints of the five-word shingle sets stands for a Jaccard similarity of ``similarity`` or more.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    wide_radius = round(256 * math.acos(cosine) / math.pi)
+    marked = with_fingerprint(docs.select("doc_id", "text"), 1, True).withColumn("w", wide_udf(5)("text"))
+    marked = written(marked.select("doc_id", "fp", "w.*"), "simhash-fp")
+    return _classes(marked, ["fp", *WIDE], radius, wide_radius, bucket_limit)
+
+
+def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each group of similar documents: that of the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays (the least by its text). Rows with a null doc_id stay only where their
+    group has no other id. Columns are those of docs.
+    """
+    keep = similar_documents(docs, similarity).select(F.col("component_id").alias("keep_id")).distinct()
+    first = docs.join(written(keep, "simhash-keep"), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    repeated = first.groupBy("doc_id").agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+    again = first.join(repeated.select(F.col("doc_id").alias("keep_id")), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    once = first.join(repeated.select(F.col("doc_id").alias("keep_id")), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_anti")
+    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
+    return once.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
