@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from lexloom.llm import simhash
+from lexloom.llm import bpe, fingerprint, mixing, pii, quality, simhash, token_files, urls, vafile
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_mixing": mixing.op2_mixing,
+    "op3_token_files": token_files.op3_token_files,
+    "op4_top_k": vafile.op4_top_k,
+    "op6_bpe": bpe.op6_bpe,
+    "op7_fingerprint": fingerprint.op7_fingerprint,
+    "op8_urls": urls.op8_urls,
+    "op9_pii": pii.op9_pii,
+    "op10_quality": quality.op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.OP2_SQL,
+    "op4_top_k": vafile.OP4_SQL,
+}
