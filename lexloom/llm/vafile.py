@@ -131,8 +131,8 @@ def op4_top_k(spark, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
