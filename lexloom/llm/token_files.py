@@ -1,8 +1,8 @@
 """Token ids as Arrow files of fixed-size-list batches.
 
 Layout: one Arrow IPC file per shard, shards numbered in ascending doc_id order. A row is one sequence:
-``input_ids`` fixed_size_list<uint16 or uint32>[seq_len], ``mask`` fixed_size_list<uint8>[seq_len] (0 padding,
-1 token, 2 last token of a document) and ``doc_ids`` list<int64>, the documents that end in the sequence, in order.
+``input_ids`` fixed_size_list<uint16 or uint32>[seq_len], ``mask`` fixed_size_list<bool>[seq_len] (false for padding),
+``doc_ids`` list<int64>, the documents that end in the sequence, in order, and ``doc_ends`` list<int32>, where.
 Every sequence has the same length and the file format keeps batch offsets in its footer, so a memory-mapped reader
 reaches sequence i, ids and mask, without copying or parsing what lies before it. Documents run on across sequences;
 only the last sequence of a shard is padded.
@@ -30,8 +30,10 @@ from lexloom.llm._shared import scratch_path, table
 
 SEQ_LEN = 2048
 ROWS = 256
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers at most; those that no text had for half as many new words are forgotten.
+REMEMBERED = 1_400_000
+#: A period or comma that ends an ASCII word is a piece of its own, so it can be cut off beforehand.
+_TAIL = re.compile(rb"(?<=[0-9A-Za-z])([.,])(?=[ \t-\r]|$)")
 
 _encoders: dict[tuple, WordEncoder] = {}
 
@@ -49,14 +51,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian ids of each UTF-8 text."""
-        split = [x.split() for x in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list({w for words in split for w in words})
+        split = [_TAIL.sub(rb" \1", x).split() for x in texts]
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        missing = {w for words in split for w in words if w not in self.known}
+        self.known.update((w, self.older[w]) for w in missing if w in self.older)
+        new = [w for w in missing if w not in self.known]
         for start in range(0, len(new), 4096):
             part = new[start : start + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
@@ -82,7 +86,7 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def sequence_schema(dtype: np.dtype, seq_len: int) -> pa.Schema:
     ids = pa.uint16() if dtype.itemsize == 2 else pa.uint32()
-    return pa.schema([("input_ids", pa.list_(ids, seq_len)), ("mask", pa.list_(pa.uint8(), seq_len)), ("doc_ids", pa.list_(pa.int64()))])
+    return pa.schema([("input_ids", pa.list_(ids, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len)), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int32()))])
 
 
 class SequenceWriter:
@@ -92,7 +96,6 @@ class SequenceWriter:
         self.schema, self.dtype, self.seq_len = sequence_schema(dtype, seq_len), dtype, seq_len
         self.out = pa.ipc.new_file(sink, self.schema)
         self.ids = np.zeros(ROWS * seq_len, dtype=dtype)
-        self.mask = np.zeros(ROWS * seq_len, dtype=np.uint8)
         self.filled, self.ends = 0, []
         self.n_docs = self.n_tokens = 0
 
@@ -104,12 +107,10 @@ class SequenceWriter:
             n = min(len(ids) - done, len(self.ids) - self.filled)
             at = slice(self.filled, self.filled + n)
             self.ids[at] = ids[done : done + n]
-            self.mask[at] = 1
             self.filled += n
             done += n
             if done == len(ids):
-                self.mask[self.filled - 1] = 2
-                self.ends.append((doc_id, (self.filled - 1) // self.seq_len))
+                self.ends.append((doc_id, self.filled))
             if self.filled == len(self.ids):
                 self.flush()
 
@@ -117,12 +118,15 @@ class SequenceWriter:
         rows = -(-self.filled // self.seq_len)
         if rows:
             used = rows * self.seq_len
-            at = np.searchsorted([row for _, row in self.ends], np.arange(rows + 1))
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array([d for d, _ in self.ends], pa.int64()))
-            arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x[:used].copy()), self.seq_len) for x in (self.ids, self.mask)]
-            self.out.write_batch(pa.RecordBatch.from_arrays([*arrays, lists], schema=self.schema))
+            ends = np.array([end for _, end in self.ends], dtype=np.int32)
+            rows_of = (ends - 1) // self.seq_len
+            at = pa.array(np.searchsorted(rows_of, np.arange(rows + 1)), pa.int32())
+            doc_ids = pa.ListArray.from_arrays(at, pa.array([d for d, _ in self.ends], pa.int64()))
+            doc_ends = pa.ListArray.from_arrays(at, pa.array((ends - rows_of * self.seq_len).astype(np.int32)))
+            mask = pa.array(np.arange(used) < self.filled)
+            arrays = [pa.FixedSizeListArray.from_arrays(x, self.seq_len) for x in (pa.array(self.ids[:used].copy()), mask)]
+            self.out.write_batch(pa.RecordBatch.from_arrays([*arrays, doc_ids, doc_ends], schema=self.schema))
         self.ids[:] = 0
-        self.mask[:] = 0
         self.filled, self.ends = 0, []
 
     def close(self) -> None:
@@ -181,10 +185,11 @@ def shard_documents(out_dir: str, shard: int) -> Iterator[tuple[int | None, list
     pending: list[np.ndarray] = []
     for i in range(reader.num_record_batches):
         batch = reader.get_batch(i)
-        mask = batch.column(1).flatten().to_numpy()
-        valid = mask > 0
-        ids = batch.column(0).flatten().to_numpy()[valid].astype("<u4")
-        ends = np.flatnonzero(mask[valid] == 2) + 1
+        length = batch.schema.field("input_ids").type.list_size
+        # padding only follows the last token
+        ids = batch.column(0).flatten().to_numpy()[: batch.column(1).flatten().true_count].astype("<u4")
+        sizes = np.diff(batch.column(3).offsets.to_numpy())
+        ends = batch.column(3).flatten().to_numpy() + np.repeat(np.arange(len(sizes)) * length, sizes)
         begin = 0
         for doc_id, end in zip(batch.column(2).flatten().to_pylist(), ends, strict=True):
             yield doc_id, [*pending, ids[begin:end]]
