@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lexloom.plans import tables
 
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = dict(tables.QUERIES)
+ORACLES = dict(tables.ORACLES)
