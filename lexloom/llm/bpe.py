@@ -26,10 +26,10 @@ from lexloom.llm._shared import table
 
 #: White space as the public pattern means it (Unicode White_Space; Python's own class has four controls more).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Cuts of a text that no match of the pattern crosses.
-CUT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Remembered cuts per worker, and the longest cut that is remembered.
-REMEMBERED, LONGEST = 400_000, 64
+#: Cuts of a text that no match of the pattern crosses: Latin words before common punctuation, else runs up to white space.
+CUT = re.compile(f" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[.,;:!?{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Cuts that a worker remembers at most (those unused for half as many new ones are forgotten), and their greatest length.
+REMEMBERED, LONGEST = 1_000_000, 64
 NONE = 1 << 62
 
 _codecs: dict[tuple[str, str], ByteBpe] = {}
@@ -51,33 +51,31 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         a, b = tree[2 * k], tree[2 * k + 1]
         tree[k] = a if a < b else b
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-    def put(i: int, value: int) -> None:
-        k = width + i
-        tree[k] = value
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            least = a if a < b else b
-            if tree[k] == least:
-                break
-            tree[k] = least
-            k >>= 1
-
-    def pair(i: int, end: int) -> int:
-        rank = get(piece[i:end])
-        return NONE if rank is None else rank * width + i
-
     while tree[1] != NONE:
         i = tree[1] % width
         gone = after[i]
         end = after[i] = after[gone]
+        changes = [(width + gone, NONE)]
         if end < n:
             before[end] = i
-        put(gone, NONE)
-        put(i, pair(i, after[end]) if end < n else NONE)
-        if i > 0:
-            put(before[i], pair(before[i], end))
+            rank = get(piece[i : after[end]])
+            changes.append((width + i, NONE if rank is None else rank * width + i))
+        else:
+            changes.append((width + i, NONE))
+        if i:
+            left = before[i]
+            rank = get(piece[left:end])
+            changes.append((width + left, NONE if rank is None else rank * width + left))
+        for k, value in changes:
+            tree[k] = value
+            while k > 1:
+                other = tree[k ^ 1]
+                if other < value:
+                    value = other
+                k >>= 1
+                if tree[k] == value:
+                    break
+                tree[k] = value
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
@@ -96,6 +94,7 @@ class ByteBpe:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def piece_ids(self, piece: bytes) -> list[int]:
         rank = self.ranks.get(piece)
@@ -106,14 +105,14 @@ class ByteBpe:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, special tokens being ordinary text."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         known, out = self.known, []
         for cut in CUT.findall(text):
             ids = known.get(cut)
             if ids is None:
-                ids = self._cut_ids(cut)
+                ids = self.older.get(cut) or self._cut_ids(cut)
                 if len(cut) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
                     known[cut] = ids
             out += ids
         return out
