@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.plans import tables
+from lexloom.plans import fixtures, tables
 
-QUERIES = dict(tables.QUERIES)
-ORACLES = dict(tables.ORACLES)
+QUERIES = tables.QUERIES | fixtures.QUERIES
+ORACLES = tables.ORACLES | fixtures.ORACLES
