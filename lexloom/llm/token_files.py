@@ -30,10 +30,15 @@ from lexloom.llm._shared import scratch_path, table
 
 SEQ_LEN = 2048
 ROWS = 256
-#: Words whose ids a worker remembers at most; those that no text had for half as many new words are forgotten.
-REMEMBERED = 1_400_000
-#: A period or comma that ends an ASCII word is a piece of its own, so it can be cut off beforehand.
-_TAIL = re.compile(rb"(?<=[0-9A-Za-z])([.,])(?=[ \t-\r]|$)")
+#: Words whose ids a worker remembers at most, in two generations. A word is remembered when it comes a second time;
+#: one that did not come for a whole generation is forgotten.
+REMEMBERED = 700_000
+#: Slots that tell whether a word may have come before.
+SLOTS = 1 << 22
+#: Where an ASCII letter or digit meets other ASCII punctuation than an apostrophe, pieces end, so texts can be cut there.
+_CUT = re.compile(rb"(?<=[0-9A-Za-z])(?=[!-&(-/:-@\[-`{-~])")
+#: How a special token may begin; texts with it are not cut further than at white space.
+_SPECIAL = b"<|"
 
 _encoders: dict[tuple, WordEncoder] = {}
 
@@ -50,22 +55,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.seen = bytearray(SLOTS)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian ids of each UTF-8 text."""
-        split = [_TAIL.sub(rb" \1", x).split() for x in texts]
+        split = [(x if _SPECIAL in x else _CUT.sub(b" ", x)).split() for x in texts]
         if len(self.known) > REMEMBERED // 2:
-            self.known, self.older = {}, self.known
-        missing = {w for words in split for w in words if w not in self.known}
-        self.known.update((w, self.older[w]) for w in missing if w in self.older)
-        new = [w for w in missing if w not in self.known]
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype=self.type).tobytes()) for w, e in zip(part, found, strict=True))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+            self.known, self.older, self.seen = {}, self.known, bytearray(SLOTS)
+        known, older, seen = self.known, self.older, self.seen
+        missing = list(set().union(*split) - known.keys())
+        known.update((w, older[w]) for w in missing if w in older)
+        new = [w for w in missing if w not in known]
+        known.update(zip(new, self._word_ids(new), strict=True))
+        packed = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in new:
+            slot = hash(w) % SLOTS
+            if not seen[slot]:
+                seen[slot] = 1
+                del known[w]
+        return packed
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of single words. Words of letters only are one piece each, so they are encoded many at a time: a piece
+        ends where a token ends a word."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, t in enumerate(texts) if t.isalpha()] if self.ends.any() else []
+        parts = [plain[start : start + 64] for start in range(0, len(plain), 64)]
+        for start in range(0, len(parts), 64):
+            some = parts[start : start + 64]
+            found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part]) for part in some], add_special_tokens=False)
+            for part, e in zip(some, found, strict=True):
+                ids = np.array(e.ids, dtype=self.type)
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(cuts) == len(part):
+                    raw, size, at = ids.tobytes(), self.type.itemsize, 0
+                    for i, cut in zip(part, cuts.tolist(), strict=True):
+                        out[i] = raw[at : cut * size]
+                        at = cut * size
+        left = [i for i, x in enumerate(out) if not x]
+        for start in range(0, len(left), 4096):
+            part = left[start : start + 4096]
+            found = self.tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)
+            for i, e in zip(part, found, strict=True):
+                out[i] = np.array(e.ids, dtype=self.type).tobytes()
+        return out
 
 
 def encoder(path: str) -> WordEncoder:
