@@ -20,4 +20,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op4_top_k": vafile.OP4_SQL,
+    "op8_urls": urls.OP8_SQL,
 }

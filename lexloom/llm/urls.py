@@ -96,3 +96,36 @@ def filter_urls(pages: DataFrame, rules=RULES, **tree) -> DataFrame:
 def op8_urls(spark, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+def _tree_sql(rules=RULES, depth: int = DEPTH, fanout: int = FANOUT, near: float = NEAR, reject: float = REJECT) -> str:
+    """The same result in DuckDB SQL, level by level, written independently of the expressions above."""
+    ordered = sorted(rules, key=lambda r: -len(r[1] + r[2]))
+    when = lambda pick: " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{pick(v, h, p)}'" for v, h, p in ordered)
+    segments = [f"CASE WHEN len(parts) > {i} THEN {f'parts[{i + 1}]' if i < depth - 1 else f'array_to_string(parts[{i + 1}:], chr(47))'} END AS s{i}" for i in range(depth)]
+    keys = ", ".join(f"s{i}" for i in range(depth))
+    steps = []
+    for i in range(depth):
+        steps.append(f"c{i} AS (SELECT host, prefix, count(DISTINCT s{i}) AS children FROM t{i} GROUP BY host, prefix)")
+        steps.append(
+            f"t{i + 1} AS (SELECT t.* REPLACE (CASE WHEN s{i} IS NULL THEN parent ELSE t.prefix END AS parent, "
+            f"t.prefix || CASE WHEN s{i} IS NULL THEN '' WHEN children > {fanout} THEN '/*' ELSE '/' || s{i} END AS prefix) FROM t{i} t JOIN c{i} c ON t.host = c.host AND t.prefix = c.prefix)"
+        )
+    same = " AND ".join(f"r.s{i} IS NOT DISTINCT FROM t.s{i}" for i in range(depth))
+    return f"""
+WITH u AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '') AS raw, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+p AS (SELECT page_id, translate(raw, '{_UPPER}', '{_LOWER}') AS host, path, string_split(regexp_replace(regexp_replace(path, '^/', ''), '[0-9]+', '0', 'g'), '/') AS parts FROM u),
+r AS (SELECT page_id, host, path, CASE {when(lambda v, h, p: h + p)} END AS rule, CASE {when(lambda v, h, p: v)} END AS rule_verdict, {", ".join(segments)} FROM p),
+t0 AS (SELECT host, {keys}, count(rule_verdict) AS n, count(*) FILTER (WHERE rule_verdict = 'block') AS bad, '' AS prefix, '' AS parent FROM r GROUP BY host, {keys}),
+{", ".join(steps)},
+leaves AS (SELECT host, parent, prefix, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM t{depth} GROUP BY host, parent, prefix),
+pools AS (SELECT *, sum(bad) OVER w / nullif(sum(n) OVER w, 0) AS share FROM leaves WINDOW w AS (PARTITION BY host, parent)),
+near AS (SELECT *, coalesce(n > 0 AND abs(bad / nullif(n, 0) - share) <= {near} * sqrt(share * (1 - share) / nullif(n, 0)), false) AS alike FROM pools),
+merged AS (SELECT *, sum(n) FILTER (WHERE alike) OVER w AS like_n, sum(bad) FILTER (WHERE alike) OVER w AS like_bad FROM near WINDOW w AS (PARTITION BY host, parent)),
+judged AS (SELECT host, parent, prefix, CASE WHEN (CASE WHEN alike THEN like_bad ELSE bad END + 1) / (CASE WHEN alike THEN like_n ELSE n END + 2) >= {reject} THEN 'block' ELSE 'allow' END AS verdict FROM merged)
+SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.rule_verdict, j.verdict) AS verdict, t.prefix AS template
+FROM r JOIN t{depth} t ON r.host = t.host AND {same} JOIN judged j ON j.host = t.host AND j.parent = t.parent AND j.prefix = t.prefix
+"""
+
+
+OP8_SQL = _tree_sql()
