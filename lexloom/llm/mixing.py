@@ -49,13 +49,13 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return leveled.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "weight", "target", "rate")
 
 
-def _with_copies(docs: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
-    """docs with source_size, target and copies. targets is a written table."""
-    renamed = targets.select(F.col("source").alias("_source"), "source_size", "target", "rate")
+def _with_copies(docs: DataFrame, targets: DataFrame, seed: int, keep: dict[str, str]) -> DataFrame:
+    """docs with _copies, and with the columns of the written table targets that ``keep`` names, under its names."""
+    renamed = targets.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), *[F.col(c).alias(name) for c, name in keep.items()])
     joined = docs.join(renamed, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    whole = F.floor("rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
-    return joined.withColumn("copies", whole.cast("long") + extra).drop("rate")
+    whole = F.floor("_rate")
+    extra = (draw(F.col("doc_id"), seed) < F.col("_rate") - whole).cast("long")
+    return joined.withColumn("_copies", whole.cast("long") + extra).drop("_rate")
 
 
 def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -67,14 +67,15 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     """
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = written(source_targets(sized, weights, share, most), "mix-targets")
-    return _with_copies(sized, targets, seed)
+    planned = _with_copies(sized, targets, seed, {"source_size": "source_size", "target": "target"})
+    return planned.withColumnRenamed("_copies", "copies")
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mixed corpus: each row of docs, all columns kept, as often as the mix takes it (see mix_plan)."""
     targets = written(source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights, share, most), "mix-targets")
-    narrow = _with_copies(docs, targets, seed).filter("copies > 0")
-    return narrow.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    taken = _with_copies(docs, targets, seed, {}).filter("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

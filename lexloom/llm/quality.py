@@ -216,15 +216,15 @@ def score_udf(model: Model | None):
     return score
 
 
-def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with score. Null and empty texts get the score of a text without words; other columns stay."""
-    return docs.withColumn("score", score_udf(model)("text"))
+def score_quality(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """docs with a column ``name``, in place of one so named. Null and empty texts get the score of a text without words."""
+    return docs.withColumn(name, score_udf(model)("text"))
 
 
 def reject_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of docs that score ``threshold`` or more, fitted on the labelled rows among them outside fold 0."""
     model = fit(docs, labels, max_rows=max_rows)
-    return score_quality(docs, model).filter(F.col("score") >= threshold).select(*docs.columns)
+    return score_quality(docs, model, "_lexloom_score").filter(F.col("_lexloom_score") >= threshold).select(*docs.columns)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

@@ -235,13 +235,14 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Of rows that repeat a doc_id one stays (the least by its text). Rows with a null doc_id stay only where their
     group has no other id. Columns are those of docs.
     """
-    keep = similar_documents(docs, similarity).select(F.col("component_id").alias("keep_id")).distinct()
-    first = docs.join(written(keep, "simhash-keep"), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
-    repeated = first.groupBy("doc_id").agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
-    again = first.join(repeated.select(F.col("doc_id").alias("keep_id")), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
-    once = first.join(repeated.select(F.col("doc_id").alias("keep_id")), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_anti")
-    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-    return once.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
+    found = similar_documents(docs, similarity).select(F.col("component_id").alias("_id")).distinct()
+    kept = written(found, "simhash-keep")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    first = docs.join(kept, same, "left_semi")
+    repeated = first.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"))
+    again, once = first.join(repeated, same, "left_semi"), first.join(repeated, same, "left_anti")
+    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
+    return once.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, size int, score string, rank int, ids string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, size int, score string, rate int, target string"
 
 
 def prose(rng: random.Random, n: int) -> str:
