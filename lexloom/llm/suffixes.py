@@ -226,7 +226,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = written(found.groupBy("key").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).filter("a <> b").select("key"), "suffix-keys")
     kept = found.join(shared, "key").distinct().groupBy("rid").agg(F.collect_list(F.struct("pos", "key")).alias("kept"))
     kept = written(kept, "suffix-kept")
-    once = texts.join(kept.select("rid"), "rid", "left_semi").groupBy("rid").agg(F.first("text").alias("text"))
+    # copies meet in one row before the shuffle
+    once = texts.groupBy("rid").agg(F.first("text").alias("text"))
     suffixes = once.join(kept, "rid").select("rid", "text", "kept").mapInArrow(_context_batches(min_words), _SUFFIX)
     suffixes = written(suffixes, "suffix-rows")
     order = ["key", "after", "before", "rid", "pos"]
