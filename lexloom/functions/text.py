@@ -109,3 +109,16 @@ def every_word_contained(haystack: Column, query: str) -> Column:
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as a double; 0/0 counts as 1."""
     return F.when(denominator == 0, F.lit(1.0)).otherwise(F.try_divide(numerator.cast("double"), denominator.cast("double")))
+
+
+#: Words that must survive a line break for the grammar to read an act (fixed values).
+CRITICAL_WORDS = (
+    "amend", "amended", "amending", "amendment", "amendments", "chapter", "chapters", "effective", "providing", "provision", "provisions", "repeal", "repealed",
+    "repealing", "section", "sections", "statute", "statutes",
+)
+
+
+def critical_words_repaired(text: Column, words: tuple[str, ...] = CRITICAL_WORDS) -> Column:
+    """Line-break hyphens removed within the given words; elsewhere only the break goes and the hyphen stays."""
+    inside = "|".join(f"(?<=(?<![A-Za-z])(?i:{w[:k]}))-[ \\t]*\\r?\\n[ \\t]*(?=(?i:{w[k:]})(?![A-Za-z]))" for w in words for k in range(1, len(w)))
+    return F.regexp_replace(F.regexp_replace(text, inside, ""), "-[ \\t]*\\r?\\n[ \\t]*", "-")

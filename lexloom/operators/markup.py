@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TITLE = "(?is)<title[^>]*>(.*?)</title\\s*>"
 CHARSET = "(?i)charset\\s*=\\s*[\"']?([A-Za-z0-9_.:-]+)"
@@ -94,3 +98,15 @@ def source_format(name: Column, head: Column) -> Column:
 def strict_format(head: Column) -> Column:
     """pdf, html or null by content alone."""
     return source_format(F.lit(""), head)
+
+
+@F.arrow_udf(T.StringType())
+def _joined(base: pa.Array, href: pa.Array) -> pa.Array:
+    pairs = ((b.as_py(), h.as_py()) for b, h in zip(base, href, strict=True))
+    return pa.array((None if b is None or h is None else urljoin(b, h) for b, h in pairs), pa.string())
+
+
+def resolved_links(pages: DataFrame, base: str, html: str = "html") -> DataFrame:
+    """base, url: distinct link targets of each page resolved against its address, ascending."""
+    raw = pages.select(F.col(base).alias("base"), F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(1))).alias("raw"))
+    return raw.select("base", _joined("base", unescaped(F.col("raw"))).alias("url")).distinct().orderBy("base", "url")

@@ -97,3 +97,18 @@ def all_matched(parents: DataFrame, key: str, children: DataFrame, matched: Colu
     rolled = children.groupBy(key).agg(F.count("*").alias("n_children"), F.bool_and(matched).alias("_all"))
     joined = parents.join(rolled, key, "left")
     return joined.select(*parents.columns, F.coalesce("n_children", F.lit(0)).alias("n_children"), F.when(F.col("_all"), "resolved").otherwise("unresolved").alias("status"))
+
+
+def field_changes(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """key, field, before_value, after_value of every field that differs between rows of both sides."""
+    both = before.select(key, F.struct(*fields).alias("b")).join(after.select(key, F.struct(*fields).alias("a")), key)
+    items = [F.when(~F.col(f"b.{f}").eqNullSafe(F.col(f"a.{f}")), F.struct(F.lit(f).alias("field"), F.col(f"b.{f}").cast("string").alias("before_value"), F.col(f"a.{f}").cast("string").alias("after_value"))) for f in fields]
+    return both.select(key, F.explode(F.array_compact(F.array(*items))).alias("c")).select(key, "c.*")
+
+
+def nested(parents: DataFrame, key: str, children: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """parents with one array of structs per child table, each in the order of its first columns."""
+    out = parents
+    for name, (child, columns) in children.items():
+        out = out.join(child.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name)), key, "left")
+    return out

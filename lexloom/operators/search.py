@@ -16,7 +16,7 @@ from lexloom.functions.text import ascii_tokens, search_tokens
 
 K1, B, RRF_K = 1.2, 0.75, 60
 #: Words that expand no query (fixed values).
-STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "with")
+STOP_WORDS = ("a", "an", "the", "is", "are", "of", "to", "for", "my", "how", "do", "i", "in", "on", "what", "does", "can", "and", "or", "about", "me")
 
 
 def query_terms(query: str) -> list[str]:
@@ -114,3 +114,19 @@ def like_any(column: Column, terms: list[str]) -> Column:
     for term in terms:
         hit = hit | F.lower(column).like(f"%{term}%")
     return hit
+
+
+def snippet(text: Column, query: str, size: int = 48) -> Column:
+    """The densest run of ``size`` tokens with the query's words in brackets, and ellipses where text is left out.
+
+    Meant for the rows of one page. Ties go to the earliest run. How a full-text engine chooses among runs of equal
+    density is its own affair, so this is close to, not the same as, such an engine's snippets.
+    """
+    words = F.array(*[F.lit(w) for w in query_terms(query)])
+    parts = F.filter(F.split(text, "\\s+"), lambda p: p != "")
+    hits = F.transform(parts, lambda p: F.size(F.array_intersect(search_tokens(p), words)) > 0)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(parts) - size))
+    scored = F.transform(starts, lambda i: F.struct((-F.size(F.filter(F.slice(hits, i + 1, size), lambda h: h))).alias("n"), i.alias("i")))
+    at = F.array_min(scored)["i"]
+    shown = F.transform(F.slice(F.arrays_zip(parts.alias("p"), hits.alias("h")), at + 1, size), lambda z: F.when(z["h"], F.concat(F.lit("["), z["p"], F.lit("]"))).otherwise(z["p"]))
+    return F.concat(F.when(at > 0, F.lit(" … ")).otherwise(F.lit("")), F.array_join(shown, " "), F.when(at + size < F.size(parts), F.lit(" … ")).otherwise(F.lit("")))

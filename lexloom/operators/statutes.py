@@ -177,3 +177,46 @@ def bracket_notes(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     before = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     outer = ended.withColumn("_open", F.coalesce(F.max("end").over(before), F.lit(0))).filter(F.col("start") >= F.col("_open"))
     return outer.select(*keys, F.substring(F.col("_t"), F.col("start") + 1, F.coalesce(F.col("end"), F.length("_t")) - F.col("start")).alias("note_text"), "start", "end")
+
+
+_MEASURE = "(?i)(?:HB|SB)\\s+\\d+|\\d{4}\\s+c\\.\\s*\\d+(?:\\s+§\\s*\\w+)?|(?:sections?\\s+[\\d\\w, and]+,\\s*)?chapter\\s+\\d+,\\s*Oregon Laws\\s+\\d{4}"
+
+
+def enacting_measure(note: Column) -> Column:
+    """The measure that a note names first, or null."""
+    return F.nullif(F.regexp_extract(note, _MEASURE, 0), F.lit(""))
+
+
+def tells_of_change(kind: Column, note: Column) -> Column:
+    """Whether a note, not being a source credit, speaks of a pending change."""
+    return (kind != "source_credit") & note.rlike("(?i)amend|repeal|effective|takes effect|not added to ORS|becomes operative")
+
+
+def pending_changes(notes: DataFrame) -> DataFrame:
+    """notes(edition_year, chapter_number, section, ordinal, kind, note_text) -> pending-change rows with ids.
+
+    A date that is worded but impossible stays null and sets bad_date.
+    """
+    from lexloom.functions.keys import stable_id
+
+    date = effective_date(F.col("note_text"))
+    rows = notes.filter(tells_of_change(F.col("kind"), F.col("note_text"))).withColumn("_d", date)
+    key = stable_id(F.col("edition_year"), F.col("chapter_number"), F.col("section"), F.col("ordinal"), F.col("note_text"))
+    return rows.select(
+        key.alias("id"), F.col("section").alias("target_section"), enacting_measure(F.col("note_text")).alias("enacting_measure"),
+        F.col("_d.date").alias("effective_date"), "note_text", (F.col("_d.found") & F.col("_d.date").isNull()).alias("bad_date"),
+    )
+
+
+def note_candidates(text: Column, reach: int = 200) -> Column:
+    """Array of struct introducer and context of the notes that a text may open."""
+    found = F.regexp_extract_all(text, F.lit(f"(?s)\\bNotes?:\\s.{{0,{reach}}}"), F.lit(0))
+    return F.transform(found, lambda f: F.struct(F.regexp_extract(f, "^Notes?:", 0).alias("introducer"), f.alias("context")))
+
+
+def stub_contexts(df: DataFrame, markup: str, text: str, anchored: str, keys: list[str], reach: int = 150, limit: int = 10) -> DataFrame:
+    """keys, number, raw_markup: markup around numbers that a bracket follows and no anchor (array column) has."""
+    numbers = F.array_except(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({NUMBER})\\s*\\["), F.lit(1))), F.col(anchored))
+    each = df.select(*keys, F.col(markup).alias("_m"), F.posexplode(F.slice(numbers, 1, limit)).alias("ordinal", "number"))
+    at = F.expr("instr(_m, number)")
+    return each.withColumn("_at", at).filter("_at > 0").select(*keys, "number", F.expr(f"substring(_m, greatest(1, _at - {reach}), {reach} + least(_at - 1, {reach}))").alias("raw_markup"))

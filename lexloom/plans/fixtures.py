@@ -168,12 +168,15 @@ def chapter_sections(spark):
     return segment.sections(frame, ["chapter"]).select("number", "version_ordinal", "catchline", "body_text", "status")
 
 
-@query("term VARCHAR, phrase VARCHAR, query_context VARCHAR", [("tenant", "a?", "question"), ("tenant", "b?", "question"), ("tenant", "c?", "question"), ("tenant", "lease", "key"), ("tenant", "renter", "synonym")])
+@query(
+    "canonical_term VARCHAR, layperson_synonym VARCHAR, query_context VARCHAR",
+    [("tenant", "a?", "layperson_question"), ("tenant", "b?", "layperson_question"), ("tenant", "c?", "layperson_question"), ("lease", "lease", "legal_term_of_art"), ("tenant", "renter", "synonym"), ("abode", "home", "synonym")],
+)
 def synonym_rows(spark):
     """Expansion payloads to synonym rows."""
-    reply = '```json\n{"questions": ["a?", "b?", "c?"], "search_keys": ["renter", "lease"], "synonyms": [{"term": "tenant", "words": ["renter"]}]}\n```'
-    frame = spark.createDataFrame([("90.100", reply), ("90.110", "no json")], "citation string, reply string").withColumn("payload", terms.parse_payload(F.col("reply")))
-    return terms.synonym_rows(frame.filter(terms.is_valid_payload(F.col("payload")))).select("term", "phrase", "query_context")
+    reply = '```json\n{"layperson_questions": ["a?", "b?", "c?"], "colloquial_synonyms": {"tenant": ["renter"], "abode": ["home"]}, "legal_terms_of_art": ["abode", "lease"]}\n```'
+    frame = spark.createDataFrame([("90.100", reply, None), ("90.110", "no json", None)], "citation string, reply string, first_definition string").withColumn("payload", terms.parse_payload(F.col("reply")))
+    return terms.synonym_rows(frame.filter(terms.is_valid_payload(F.col("payload")))).select("canonical_term", "layperson_synonym", "query_context")
 
 
 @query("section VARCHAR, body VARCHAR, n_applied INTEGER", [("1.1", "uno two", 1), ("1.2", "a", 0)])

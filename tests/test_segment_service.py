@@ -4,8 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from lexloom.functions import styled
-from lexloom.operators import segment, service, terms
+from lexloom.functions import styled, text
+from lexloom.operators import markup, relational, search, segment, service, statutes, terms
 from lexloom.streaming import inbox
 
 CHAPTER = """<p>2023 EDITION</p><p><b>90.100 Definitions.</b> As used here. [1971 c.5 §1; 2001 c.2 §3]</p><p><b>90.110</b> [Repealed by 1999 c.4 §2]</p>
@@ -47,19 +47,42 @@ def test_service(spark):
 
 
 def test_terms(spark):
-    payload = {"questions": ["a?", "b?", "c?"], "search_keys": ["rent", "lease"], "synonyms": [{"term": "tenant", "words": ["renter", "rent"]}]}
-    frame = spark.createDataFrame([("90.100", "```json\n" + json.dumps(payload) + "\n```"), ("90.110", "{bad")], "citation string, reply string")
+    payload = {"layperson_questions": ["a?", "b?", "c?"], "colloquial_synonyms": {"tenant": ["renter"], "abode": ["home"]}, "legal_terms_of_art": ["abode", "lease"]}
+    frame = spark.createDataFrame([("90.100", "```json\n" + json.dumps(payload) + "\n```", None), ("90.110", "{bad", "x")], "citation string, reply string, first_definition string")
     frame = frame.withColumn("payload", terms.parse_payload(F.col("reply")))
     assert {r.citation: r.ok for r in frame.select("citation", terms.is_valid_payload(F.col("payload")).alias("ok")).collect()} == {"90.100": True, "90.110": False}
     rows = terms.synonym_rows(frame.filter(terms.is_valid_payload(F.col("payload"))))
-    assert {(r.term, r.phrase, r.query_context) for r in rows.collect()} == {("tenant", q, "question") for q in ("a?", "b?", "c?")} | {("tenant", "lease", "key"), ("tenant", "renter", "synonym"), ("tenant", "rent", "synonym")}
-    definitions = spark.createDataFrame([("90.100", "Dwelling")], "citation string, defined_term string")
+    want = {("tenant", q, "layperson_question") for q in ("a?", "b?", "c?")} | {("lease", "lease", "legal_term_of_art"), ("tenant", "renter", "synonym"), ("abode", "home", "synonym")}
+    assert {tuple(r)[1:] for r in rows.collect()} == want
+    definitions = spark.createDataFrame([("90.100", "Dwelling", "means x.", 1)], "citation string, defined_term string, definition_text string, n int")
     once = terms.with_definition_keys(rows, definitions)
     assert once.count() == rows.count() + 1 == terms.with_definition_keys(once, definitions).count()
     got = terms.expand_query(once, "my renter").first()
-    assert (got.terms, got.phrases) == (["tenant"], ["renter"]) and terms.expand_query(once, "  ").first().terms == []
-    new = spark.createDataFrame([("90.100", "t", "p", "key")], "citation string, term string, phrase string, query_context string")
-    assert terms.upserted(once, new, "citation").count() == 1
+    assert (got.matched_canonical_terms, got.alternative_phrases) == (["tenant"], ["renter"]) and terms.expand_query(once, "  ").first().ors_citations == []
+    new = spark.createDataFrame([("90.100", "t", "p", "key")], "citation string, canonical_term string, layperson_synonym string, query_context string")
+    assert terms.upserted(once, new, "citation").count() == 1 and terms.first_definitions(definitions, "n").first().first_definition == "Dwelling"
+    asked = definitions.select(terms.prompt(F.col("citation"), F.lit(None).cast("string"), F.lit("body"), F.array(F.struct("defined_term", "definition_text")))).first()[0]
+    assert "(untitled)" in asked and '- "Dwelling": means x.' in asked
+
+
+def test_more_text_operators(spark):
+    one = lambda v, c: spark.createDataFrame([(v,)], "t string").select(c.alias("c")).first().c
+    t = F.col("t")
+    assert one("to amend-\ned and Amend-\nments of well-\nknown", text.critical_words_repaired(t)) == "to amended and Amendments of well-known"
+    words = " ".join(f"w{i}" for i in range(100))
+    assert one(words, search.snippet(t, "w60 w62", 5)) == " … w58 w59 [w60] w61 [w62] … " and one("a b", search.snippet(t, "b", 5)) == "a [b]"
+    assert one("see chapter 5, Oregon Laws 2023", statutes.enacting_measure(t)) == "chapter 5, Oregon Laws 2023" and one("x", statutes.enacting_measure(t)) is None
+    assert [tuple(c) for c in one("a Note: b", statutes.note_candidates(t))] == [("Note:", "Note: b")]
+    notes = spark.createDataFrame([(2023, "90", None, 0, "note", "HB 5 amends, effective January 1, 2025"), (2023, "90", "90.1", 1, "source_credit", "amended"), (2023, "90", "90.1", 2, "note", "takes effect February 30, 2025")], "edition_year int, chapter_number string, section string, ordinal int, kind string, note_text string")
+    got = sorted((r.enacting_measure or "", str(r.effective_date), r.bad_date) for r in statutes.pending_changes(notes).collect())
+    assert got == [("", "None", True), ("HB 5", "2025-01-01", False)]
+    pages = spark.createDataFrame([("http://h/a/b", '<a href="../c?x=1&amp;y=2">x</a><a href="d">y</a><a href="d">z</a>')], "url string, html string")
+    assert [r.url for r in markup.resolved_links(pages, "url").collect()] == ["http://h/a/d", "http://h/c?x=1&y=2"]
+    a, b = (spark.createDataFrame([(1, "x", v)], "k int, p string, q int") for v in (1, None))
+    assert [tuple(r) for r in relational.field_changes(a, b, "k", ["p", "q"]).collect()] == [(1, "q", "1", None)]
+    assert relational.nested(a, "k", {"kids": (b, ["p", "q"])}).first().kids[0].p == "x"
+    stubs = spark.createDataFrame([(1, "<i>90.1234</i> [Repealed]", "90.1234 [Repealed] 90.110 [x]", ["90.110"])], "id int, m string, t string, have array<string>")
+    assert [r.number for r in statutes.stub_contexts(stubs, "m", "t", "have", ["id"]).collect()] == ["90.1234"]
 
 
 def test_inbox(spark, tmp_path):
