@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,31 +94,36 @@ class ByteBpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def piece_ids(self, piece: bytes) -> list[int]:
         rank = self.ranks.get(piece)
         return [rank] if rank is not None else merge(piece, self.ranks)
 
-    def _cut_ids(self, cut: str) -> tuple[int, ...]:
-        return tuple(i for piece in self.pattern.findall(cut) for i in self.piece_ids(piece.encode()))
+    def _cut_ids(self, cut: str) -> bytes:
+        return np.array([i for piece in self.pattern.findall(cut) for i in self.piece_ids(piece.encode())], dtype="<i4").tobytes()
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text, special tokens being ordinary text."""
+    def encode_array(self, text: str) -> np.ndarray:
+        """Ids of a whole text as 32-bit integers, special tokens being ordinary text."""
         if len(self.known) > REMEMBERED // 2:
             self.known, self.older = {}, self.known
-        known, out = self.known, []
+        known, older, out = self.known, self.older, []
         for cut in CUT.findall(text):
             ids = known.get(cut)
             if ids is None:
-                ids = self.older.get(cut) or self._cut_ids(cut)
+                ids = older.get(cut) or self._cut_ids(cut)
                 if len(cut) <= LONGEST:
                     known[cut] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return np.frombuffer(b"".join(out), dtype="<i4")
+
+    def encode(self, text: str) -> list[int]:
+        """encode_array() as a list."""
+        return self.encode_array(text).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
+        """The bytes of ids; an id that the file lacks raises."""
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
@@ -134,7 +140,10 @@ def encode_udf(path: str, pattern: str):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(text: pa.Array) -> pa.Array:
         use = codec(path, pattern)
-        return pa.array((use.encode(x.as_py() or "") for x in text), pa.list_(pa.int32()))
+        rows = [use.encode_array(x.as_py() or "") for x in text]
+        ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+        values = np.concatenate(rows) if rows else np.empty(0, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
 
     return encode
 
@@ -145,7 +154,8 @@ def decode_udf(path: str, pattern: str):
     @F.arrow_udf(T.BinaryType())
     def decode(ids: pa.Array) -> pa.Array:
         use = codec(path, pattern)
-        return pa.array((use.decode(x.as_py() or ()) for x in ids), pa.binary())
+        rows = (use.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else b"" for x in ids)
+        return pa.array(rows, pa.binary())
 
     return decode
 
