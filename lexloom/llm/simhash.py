@@ -235,12 +235,13 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Of rows that repeat a doc_id one stays (the least by its text). Rows with a null doc_id stay only where their
     group has no other id. Columns are those of docs.
     """
-    found = similar_documents(docs, similarity).select(F.col("component_id").alias("_id")).distinct()
-    kept = written(found, "simhash-keep")
+    kept = written(similar_documents(docs, similarity).select(F.col("component_id").alias("_id")).distinct(), "simhash-keep")
+    repeated = docs.groupBy(F.col("doc_id").alias("_repeated")).agg(F.count("*").alias("n")).filter("n > 1").select("_repeated")
+    twice = F.col("_id").eqNullSafe(F.col("_repeated"))
     same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    first = docs.join(kept, same, "left_semi")
-    repeated = first.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"))
-    again, once = first.join(repeated, same, "left_semi"), first.join(repeated, same, "left_anti")
+    # ids are told apart before texts are joined, so texts are shuffled once
+    once = docs.join(kept.join(repeated, twice, "left_anti"), same, "left_semi")
+    again = docs.join(kept.join(repeated, twice, "left_semi"), same, "left_semi")
     least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
     return once.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
 
