@@ -92,6 +92,12 @@ def chain_depths(edges: DataFrame, node: str, parent: str, spark) -> DataFrame:
     """)
 
 
+def linear_history(df: DataFrame, keys: list[str], order: list[str], step: str) -> DataFrame:
+    """df with root, the first step of each key's history in order, and depth, the steps up to here."""
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("root", F.first(step).over(upto)).withColumn("depth", F.count("*").over(upto))
+
+
 def all_matched(parents: DataFrame, key: str, children: DataFrame, matched: Column) -> DataFrame:
     """key, n_children, status: resolved if a key has children and all match, else unresolved."""
     rolled = children.groupBy(key).agg(F.count("*").alias("n_children"), F.bool_and(matched).alias("_all"))

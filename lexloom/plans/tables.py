@@ -110,15 +110,14 @@ def exact_lookup_first(t, spark):
     return joined.select("doc_id", F.round(score, 9).alias("score"))
 
 
-_LIKES = search.expansion_terms("the quality of a widget ered")
+_LIKES = search.expansion_terms("the license of a widget")
 
 
-@query(f"""SELECT b.item_id, count(d.doc_id) AS n_docs, min(d.doc_id) AS first_doc FROM benchmark b JOIN documents d ON d.lang = 'en' AND d.doc_id % 10 = b.item_id % 10 AND ({' OR '.join(f"lower(b.text) LIKE '%{w}%'" for w in _LIKES)}) GROUP BY b.item_id""")
+@query(f"""SELECT source, lang, count(*) AS n_docs, min(doc_id) AS first_doc FROM documents WHERE {' OR '.join(f"lower(text) LIKE '%{w}%'" for w in _LIKES)} GROUP BY source, lang""")
 def query_expansion_like(t, spark):
-    """Entries LIKE any of a query's terms, with what belongs to them."""
-    entries = t("benchmark").filter(search.like_any(F.col("text"), _LIKES)).select("item_id", (F.col("item_id") % 10).alias("k"))
-    docs = t("documents").filter("lang = 'en'").select("doc_id", (F.col("doc_id") % 10).alias("k"))
-    return entries.join(docs, "k").groupBy("item_id").agg(F.count("doc_id").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    """Texts LIKE the query or any of its words, by where they come from."""
+    hits = t("documents").filter(search.like_any(F.col("text"), _LIKES))
+    return hits.groupBy("source", "lang").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
 @query("""SELECT item_id, (CASE WHEN contains(lower(text), 'ered') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'the') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'the ered') THEN 4 ELSE 0 END)::INTEGER AS concept_score FROM benchmark""")
@@ -273,15 +272,17 @@ def coverage_targets(t, spark):
     return quality.coverage(t("events"), "event_type", spark.createDataFrame(_TARGETS, "event_type string, target long"))
 
 
-@query("""WITH g AS (SELECT unnest(generate_series(1, 120)) AS k), r AS (SELECT g.k, count(o_orderkey) AS n, coalesce(bool_or(o_totalprice > 300000), false) AS big FROM g LEFT JOIN orders ON o_orderkey = g.k GROUP BY g.k)
-SELECT count(*) AS expected, count(*) FILTER (WHERE n > 0) AS acquired, count(*) FILTER (WHERE n = 0) AS missing, count(*) FILTER (WHERE big) AS review, string_agg(CASE WHEN n = 0 THEN k::VARCHAR END, ',' ORDER BY k) AS missing_keys FROM r""")
+@query("""WITH g AS (SELECT unnest(generate_series(1, (SELECT max(user_id) + 50 FROM events))) AS k), r AS (SELECT g.k, count(event_id) AS n, coalesce(bool_or(event_type = 'error'), false) AS bad FROM g LEFT JOIN events ON user_id = g.k GROUP BY g.k)
+SELECT count(*) AS expected, count(*) FILTER (WHERE n > 0) AS acquired, count(*) FILTER (WHERE n = 0) AS missing, count(*) FILTER (WHERE bad) AS review, min(CASE WHEN n = 0 THEN k END) AS first_missing, max(CASE WHEN n = 0 THEN k END) AS last_missing FROM r""")
 def session_rollup(t, spark):
-    """A generated range of expected numbers against what is there."""
-    have = t("orders").filter("o_orderkey between 1 and 120").groupBy(F.col("o_orderkey").alias("k")).agg(F.count("*").alias("n"), F.bool_or(F.col("o_totalprice") > 300000).alias("big"))
-    joined = spark.range(1, 121).select(F.col("id").alias("k")).join(have, "k", "left")
-    absent = F.col("n").isNull()
-    keys_of = F.array_join(F.array_sort(F.collect_list(F.when(absent, F.col("k")))), ",")
-    return joined.agg(F.count("*").alias("expected"), F.count_if(~absent).alias("acquired"), F.count_if(absent).alias("missing"), F.count_if(F.coalesce("big", F.lit(False))).alias("review"), F.nullif(keys_of, F.lit("")).alias("missing_keys"))
+    """The range of expected numbers against what is there, with what needs review."""
+    have = t("events").groupBy(F.col("user_id").alias("k")).agg(F.count("*").alias("n"), F.bool_or(F.col("event_type") == "error").alias("bad"))
+    expected = t("events").agg(F.max("user_id").alias("m")).select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("m") + 50)).alias("k"))
+    joined, absent = expected.join(have, "k", "left"), F.col("n").isNull()
+    return joined.agg(
+        F.count("*").alias("expected"), F.count_if(~absent).alias("acquired"), F.count_if(absent).alias("missing"), F.count_if(F.coalesce("bad", F.lit(False))).alias("review"),
+        F.min(F.when(absent, F.col("k"))).alias("first_missing"), F.max(F.when(absent, F.col("k"))).alias("last_missing"),
+    )
 
 
 @query("""WITH c AS (SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS states FROM lineitem GROUP BY l_orderkey)
@@ -405,17 +406,24 @@ def json_props_filter(t, spark):
     return t("events").select("event_id", "user_id", k.alias("k")).filter("k >= 50")
 
 
-@query("""WITH RECURSIVE e AS (SELECT event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS parent, ts FROM events WHERE user_id < 20 AND event_type IN ('purchase', 'signup')),
-chain(node, root, depth) AS (SELECT event_id, event_id, 0 FROM e WHERE parent IS NULL UNION ALL SELECT e.event_id, c.root, c.depth + 1 FROM e JOIN chain c ON e.parent = c.node)
-SELECT root, max(depth) AS last_depth, arg_max(node, depth) AS head FROM chain GROUP BY root""")
+@query("""WITH h AS (SELECT user_id, event_id, value, first_value(event_id) OVER w AS root, row_number() OVER w AS n FROM events WHERE event_type IN ('purchase', 'signup') AND ts <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT user_id, root, max(n) AS n_applied, arg_max(event_id, n) AS head FROM h GROUP BY user_id, root""")
 def history_asof(t, spark):
-    """Linear histories followed by a recursive query, and the state each has reached."""
-    from pyspark.sql import Window
-
-    e = t("events").filter("user_id < 20 and event_type in ('purchase', 'signup')")
-    e = e.select("event_id", F.lag("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("parent"))
-    chain = relational.chain_depths(e, "event_id", "parent", spark)
-    return chain.groupBy("root").agg(F.max("depth").alias("last_depth"), F.max_by("node", "depth").alias("head"))
+    """Each linear history as of a date: its root, how many steps it took and where it stands."""
+    events = t("events")
+    cut = events.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("cut"))
+    steps = events.filter(F.col("event_type").isin("purchase", "signup")).join(F.broadcast(cut), F.col("ts") <= F.col("cut"))  # one row
+    chain = relational.linear_history(steps, ["user_id"], ["ts", "event_id"], "event_id")
+    return chain.groupBy("user_id", "root").agg(F.max("depth").alias("n_applied"), F.max_by("event_id", "depth").alias("head"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT n_nationkey AS node, CASE WHEN n_nationkey >= 5 THEN n_nationkey - 5 END AS parent FROM nation),
+chain(node, root, depth) AS (SELECT node, node, 0 FROM e WHERE parent IS NULL UNION ALL SELECT e.node, c.root, c.depth + 1 FROM e JOIN chain c ON e.parent = c.node)
+SELECT node, root, depth FROM chain""")
+def predecessor_chains(t, spark):
+    """Predecessor edges followed to their roots by a recursive query."""
+    edges = t("nation").select(F.col("n_nationkey").alias("node"), F.when(F.col("n_nationkey") >= 5, F.col("n_nationkey") - 5).alias("parent"))
+    return relational.chain_depths(edges, "node", "parent", spark)
 
 
 @query("""SELECT p_partkey, lpad(regexp_extract(k, '^(\\d+)', 1), 6, '0') || CASE WHEN regexp_extract(k, '([A-Z]?)$', 1) = '' THEN ' ' ELSE regexp_extract(k, '([A-Z]?)$', 1) END AS sort_key
