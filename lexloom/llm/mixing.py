@@ -2,8 +2,9 @@
 
 Words are summed per source; a water level over the sources' caps turns weights into targets; the repetition rate of
 a source is its target over its size. A document is emitted floor(rate) times, plus once more if a hash of its id and
-the seed, as a number in [0, 1), lies below the fraction. The draw depends on nothing but id and seed, so retried
-tasks, reruns and other partitionings emit the same copies.
+its source's seed, as a number in [0, 1), lies below the fraction. Each source uses that one of TRIES seeds whose draw
+comes nearest its target, which a few long documents would otherwise upset. The draw depends on nothing but ids and
+sizes, so retried tasks, reruns and other partitionings emit the same copies.
 
 Scale: texts are scanned once for their sizes, which are aggregated before the shuffle. The table of sources has one
 row per source and is the only thing ranked as a whole; joins with it are left to the optimizer's size checks.
@@ -20,11 +21,12 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 42
+TRIES = 16
 
 
-def draw(doc_id: Column, seed: int = SEED) -> Column:
+def draw(doc_id: Column, seed: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of the MD5 of seed and id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), id_text(doc_id)).cast("binary"))
+    digest = F.md5(F.concat(seed.cast("string"), F.lit(":"), id_text(doc_id)).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -49,16 +51,34 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return leveled.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "weight", "target", "rate")
 
 
-def _with_copies(docs: DataFrame, targets: DataFrame, seed: int, keep: dict[str, str]) -> DataFrame:
-    """docs with _copies, and with the columns of the written table targets that ``keep`` names, under its names."""
-    renamed = targets.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), *[F.col(c).alias(name) for c, name in keep.items()])
-    joined = docs.join(renamed, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+def _joined(sized: DataFrame, targets: DataFrame, keep: dict[str, str]) -> DataFrame:
+    """sized with the columns of the written table targets that ``keep`` names, under its names."""
+    renamed = targets.select(F.col("source").alias("_source"), *[F.col(c).alias(name) for c, name in keep.items()])
+    return sized.join(renamed, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
+def _plan_sources(sized: DataFrame, weights, share: float, most: float, seed: int, tries: int) -> DataFrame:
+    """Targets of the written table sized(doc_id, source, size), with each source's seed; the draws are summed per source."""
+    targets = written(source_targets(sized, weights, share, most), "mix-targets")
+    fraction = F.col("_rate") - F.floor("_rate")
+    taken = [F.sum(F.when(draw(F.col("doc_id"), F.lit(seed + i)) < fraction, F.col("size")).otherwise(0)).alias(f"_t{i}") for i in range(tries)]
+    sums = _joined(sized, targets, {"rate": "_rate"}).groupBy("source").agg(*taken)
+    sums = sums.withColumnRenamed("source", "_of")
+    missed = lambda i: F.abs(F.col(f"_t{i}") - (F.col("rate") - F.floor("rate")) * F.col("source_size"))
+    best = F.array_min(F.array(*[F.struct(missed(i).alias("missed"), F.lit(seed + i).alias("seed")) for i in range(tries)]))["seed"]
+    chosen = targets.join(sums, F.col("source").eqNullSafe(F.col("_of"))).withColumn("seed", best)
+    return written(chosen.select("source", "source_size", "weight", "target", "rate", "seed"), "mix-seeds")
+
+
+def _with_copies(docs: DataFrame, plan: DataFrame, keep: dict[str, str]) -> DataFrame:
+    """docs with _copies and the named columns of the sources' plan."""
+    joined = _joined(docs, plan, keep | {"rate": "_rate", "seed": "_seed"})
     whole = F.floor("_rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("_rate") - whole).cast("long")
-    return joined.withColumn("_copies", whole.cast("long") + extra).drop("_rate")
+    extra = (draw(F.col("doc_id"), F.col("_seed")) < F.col("_rate") - whole).cast("long")
+    return joined.withColumn("_copies", whole.cast("long") + extra).drop("_rate", "_seed")
 
 
-def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, tries: int = TRIES) -> DataFrame:
     """One row per document row: doc_id, source, size, source_size, target, copies.
 
     Null texts, texts without words and sources without words have size 0 and take no part in the sums; a source
@@ -66,15 +86,14 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     rows of one doc_id share their draw. An empty table gives an empty plan. Extra columns are ignored.
     """
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    targets = written(source_targets(sized, weights, share, most), "mix-targets")
-    planned = _with_copies(sized, targets, seed, {"source_size": "source_size", "target": "target"})
-    return planned.withColumnRenamed("_copies", "copies")
+    plan = _plan_sources(sized, weights, share, most, seed, tries)
+    return _with_copies(sized, plan, {"source_size": "source_size", "target": "target"}).withColumnRenamed("_copies", "copies")
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, tries: int = TRIES) -> DataFrame:
     """The mixed corpus: each row of docs, all columns kept, as often as the mix takes it (see mix_plan)."""
-    targets = written(source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights, share, most), "mix-targets")
-    taken = _with_copies(docs, targets, seed, {}).filter("_copies > 0")
+    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    taken = _with_copies(docs, _plan_sources(sized, weights, share, most, seed, tries), {}).filter("_copies > 0")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 
@@ -102,9 +121,15 @@ WITH sized AS (
   SELECT source, source_size, least(cap, max(own) OVER () * weight) AS target FROM own
 ), rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets
+), draws AS (
+  SELECT s.source, k AS seed, abs(sum(CASE WHEN ('0x' || substr(md5(k::VARCHAR || ':' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN s.size ELSE 0 END)::BIGINT
+         - (any_value(r.rate) - floor(any_value(r.rate))) * any_value(r.source_size)) AS missed
+  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source CROSS JOIN (SELECT unnest(generate_series(42, 57)) AS k) GROUP BY s.source, k
+), seeds AS (
+  SELECT source, seed FROM draws QUALIFY row_number() OVER (PARTITION BY source ORDER BY missed, seed) = 1
 )
 SELECT s.doc_id, s.size, r.source_size, r.target,
        (s.size * (floor(r.rate)::BIGINT
-        + CASE WHEN ('0x' || substr(md5('42:' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM sized s LEFT JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+        + CASE WHEN ('0x' || substr(md5(d.seed::VARCHAR || ':' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized s LEFT JOIN rates r ON s.source IS NOT DISTINCT FROM r.source LEFT JOIN seeds d ON s.source IS NOT DISTINCT FROM d.source
 """

@@ -12,7 +12,7 @@ import corpus_pipeline
 from lexloom.llm import pii, quality
 from tests.llm.cases import frame, prose, rows
 from tests.llm.test_bpe import library
-from tests.llm.test_mixing import slow_targets
+from tests.llm.test_mixing import slow_copies
 
 
 @pytest.fixture(scope="module")
@@ -55,17 +55,11 @@ def test_run_equals_the_plain_version(spark, sf_dir):
         if not any(alike(sets[i], sets[j]) >= 0.8 for j in range(i)):
             alone.append(r)
     hidden = [(r[0], None if r[1] is None else pii.redact(r[1], pii.find_spans(r[1])), r[3]) for r in alone]
-    sizes = Counter()
-    for _, text, source in hidden:
-        sizes[source] += len(re.findall("[^\x20\x09-\x0d]+", text or ""))
-    targets, lib, want = slow_targets(sizes), library(), Counter()
-    for doc_id, text, source in hidden:
-        rate = targets[source] / sizes[source] if sizes[source] else 0
-        whole = int(rate + 1e-12)
-        draw = int(hashlib.md5(f"42:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 2**52
-        copies = whole + (draw < rate - whole)
-        if copies:
-            want[(doc_id, source, tuple(lib.encode_ordinary(text or "")))] += copies
+    copies, _ = slow_copies([(i, len(re.findall("[^\x20\x09-\x0d]+", text or "")), source) for i, text, source in hidden])
+    lib, want = library(), Counter()
+    for (doc_id, text, source), n in zip(hidden, copies):
+        if n:
+            want[(doc_id, source, tuple(lib.encode_ordinary(text or "")))] += n
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter((r.doc_id, r.source, tuple(r.ids)) for r in out) == want
     assert all(r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256(lib.decode_bytes(list(r.ids))).hexdigest() for r in out)
