@@ -29,8 +29,11 @@ from lexloom.llm._shared import table
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts of a text that no match of the pattern crosses: Latin words before common punctuation, else runs up to white space.
 CUT = re.compile(f" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[.,;:!?{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Cuts that a worker remembers at most (those unused for half as many new ones are forgotten), and their greatest length.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Cuts that a worker remembers at most, in two generations, and their greatest length. A cut is remembered when it
+#: comes a second time; one that did not come for a whole generation is forgotten.
+REMEMBERED, LONGEST = 400_000, 64
+#: Slots that tell whether a cut may have come before.
+SLOTS = 1 << 22
 NONE = 1 << 62
 
 _codecs: dict[tuple[str, str], ByteBpe] = {}
@@ -96,6 +99,7 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.seen = bytearray(SLOTS)
 
     def piece_ids(self, piece: bytes) -> list[int]:
         rank = self.ranks.get(piece)
@@ -107,14 +111,20 @@ class ByteBpe:
     def encode_array(self, text: str) -> np.ndarray:
         """Ids of a whole text as 32-bit integers, special tokens being ordinary text."""
         if len(self.known) > REMEMBERED // 2:
-            self.known, self.older = {}, self.known
-        known, older, out = self.known, self.older, []
+            self.known, self.older, self.seen = {}, self.known, bytearray(SLOTS)
+        known, older, seen, out = self.known, self.older, self.seen, []
         for cut in CUT.findall(text):
             ids = known.get(cut)
             if ids is None:
-                ids = older.get(cut) or self._cut_ids(cut)
-                if len(cut) <= LONGEST:
+                ids = older.get(cut)
+                if ids is not None:
                     known[cut] = ids
+                else:
+                    ids = self._cut_ids(cut)
+                    slot = hash(cut) % SLOTS
+                    if seen[slot] and len(cut) <= LONGEST:
+                        known[cut] = ids
+                    seen[slot] = 1
             out.append(ids)
         return np.frombuffer(b"".join(out), dtype="<i4")
 

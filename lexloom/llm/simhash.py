@@ -167,7 +167,9 @@ def links(nodes: DataFrame, radius: int = 4, wide_radius: int | None = None, buc
     first, second = covering_masks(radius), covering_masks(radius, turn=1)
     full = (1 << 64) - 1
     keys = [F.struct(F.lit(i).alias("turn"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("bucket")) for i, m in enumerate(first)]
-    keyed = nodes.select("id", "fp", F.explode(F.array(*keys)).alias("k")).select("id", "fp", "k.turn", "k.bucket")
+    # ids are distinct; the tables multiply rows, so they are dealt out evenly first
+    spread = nodes.repartition(max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "id")
+    keyed = spread.select("id", "fp", F.explode(F.array(*keys)).alias("k")).select("id", "fp", "k.turn", "k.bucket")
     members = written(_repeated(keyed), "simhash-members")
     # masks of the second turn over what the table of the first turn left free, by table
     finer = F.array(*[F.array(*[F.lit(_signed(m | (s & (full ^ m)))) for s in second]) for m in first])
