@@ -1,17 +1,15 @@
-"""Passages repeated across documents, by a sparse suffix array.
+"""Passages repeated across documents, by exact runs of words around shared blocks.
 
-Of a text's suffixes (by words) only those at minimisers stay: positions whose run of ``GRAM`` words has the least
+Of a text's positions (by words) only minimisers stay at first: those whose run of ``GRAM`` words has the least
 hash among WINDOW neighbouring positions. Any passage of min_words words that two texts share holds a common minimiser
-so near its start that the block of min_words - WINDOW + 1 words from there lies inside the passage. Suffixes whose
-block occurs in one text only are dropped by a count; the others are sorted by block, by the words after it and by
-those before it, neighbours of different texts are compared, and matches extend right and left beyond the block. What
-a text's matches cover is merged, and stretches of min_words words or more are its repeated passages.
-
-Scale: exact copies are one text from the start. Counting is summed before the shuffle; the join with the repeated
-blocks has plain exchanges on both sides, so a hot block splits; the sort is by ranges of the whole suffix and not by
-block, so a passage that a third of all texts share spreads over many tasks. Pairs across two ranges are compared
-from each range's first and last suffixes, a number of rows that the number of partitions fixes. Neighbours are
-compared, never all pairs, and every word of every text counts.
+so near its start that the block of min_words - WINDOW + 1 words from there lies inside the passage. Positions whose
+block occurs in one text only are dropped by a count. Of the others, every run of min_words words that holds the block
+becomes a key of its own, and the runs whose key two texts have are the repeated ones: no run of a repeated passage is
+missed, none that is not repeated counts. What a text's runs cover is merged into its repeated passages.
+
+Scale: exact copies are one text from the start. Counting is summed before the shuffle; the joins with the repeated
+keys have plain exchanges on both sides, so a hot key splits. No pairs of texts are made, so neither a passage that
+many texts share nor one that a text repeats costs more than its rows, and every word of every text counts.
 """
 
 from __future__ import annotations
@@ -21,7 +19,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +28,6 @@ from lexloom.llm._shared import table, written
 MIN_WORDS = 50
 WINDOW = 16
 GRAM = 8
-#: Neighbours back in sorted order that a suffix is compared with.
-BACK = 3
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
 
@@ -86,108 +81,25 @@ def _anchor_batches(min_words: int):
     return run
 
 
-def _context_batches(min_words: int):
-    block = min_words - WINDOW + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for rid, text, kept in zip(batch.column(0).to_pylist(), texts, batch.column(2), strict=True):
-                at = kept.values.field("pos").to_numpy().astype(np.int64)
-                # sides of equal length: beyond its ends a text has words that no other text has
-                ends = np.full(WINDOW, rid, dtype=np.int64).view(np.uint64)
-                words = np.concatenate([ends & np.uint64(0xFFFFFFFF), word_hashes(text.as_py()) & np.uint64(0xFFFFFFFF), ends >> np.uint64(32)]).astype(">u4")
-                view = np.lib.stride_tricks.sliding_window_view(words, WINDOW)
-                sides = (view[at + WINDOW + block], view[at][:, ::-1])
-                binary = [pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * WINDOW), len(at), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary()) for x in sides]
-                rids = pa.array(np.full(len(at), rid, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([kept.values.field("key"), *binary, rids, pa.array(at.astype(np.int32))], names=["key", "after", "before", "rid", "pos"])
-
-    return run
-
-
-_SUFFIX = "key long, after binary, before binary, rid long, pos int"
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of rows."""
-    return np.cumprod(a == b, axis=1, dtype=np.int64).sum(axis=1)
-
-
-def _sides(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
-    out = []
-    for name in ("after", "before"):
-        column = batch.column(name)
-        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        out.append(np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, WINDOW))
-    return out
-
-
-def matches(batch: pa.RecordBatch | pa.Table, min_words: int, back: int = BACK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) in words: each suffix's block, and its matches with the suffixes up to ``back`` rows before."""
-    block = min_words - WINDOW + 1
-    key, rid, pos = (batch.column(n).to_numpy() for n in ("key", "rid", "pos"))
-    after, before = _sides(batch)
-    out = [(np.arange(len(key)), pos, pos + block)]
-    for d in range(1, back + 1):
-        i = np.flatnonzero((key[d:] == key[:-d]) & (rid[d:] != rid[:-d])) if len(key) > d else np.empty(0, dtype=np.int64)
-        right, left = _common(after[i], after[i + d]), _common(before[i], before[i + d])
-        out += [(x, pos[x] - left, pos[x] + block + right) for x in (i, i + d)]
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+def runs_at(words: np.ndarray, at: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of every run of min_words words that holds the block from one of the positions, and the runs' hashes."""
+    starts = np.unique(at[:, None] - np.arange(WINDOW))
+    starts = starts[(starts >= 0) & (starts + min_words <= len(words))]
+    return starts, _runs(_sums(words), starts, min_words).view(np.int64)
 
 
-def _neighbour_batches(min_words: int):
+def _run_batches(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, carried, first = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            if batch.num_rows:
-                now = pa.Table.from_batches([batch])
-                both = now if carried is None else pa.concat_tables([carried, now])
-                first = now.slice(0, BACK) if first is None else first
-                if first.num_rows < BACK:
-                    first = both.slice(0, BACK)
-                row, start, end = matches(both.combine_chunks(), min_words)
-                rids = both.column("rid").to_numpy()[row]
-                best = np.unique(np.stack([rids, start, end], axis=1), axis=0)
-                yield _span_rows(best[:, 0], best[:, 1], best[:, 2])
-                carried = both.slice(max(0, both.num_rows - BACK))
-        if carried is not None:
-            yield _edge_rows(first, part, 0)
-            yield _edge_rows(carried, part, 1)
+            texts, rids = batch.column(1).cast(pa.binary()), batch.column(0).to_numpy(zero_copy_only=False)
+            for i in range(0, len(rids), 100):
+                found = [runs_at(word_hashes(x.as_py()), at.values.to_numpy().astype(np.int64), min_words) for x, at in zip(texts[i : i + 100], batch.column(2)[i : i + 100], strict=True)]
+                starts, keys = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rids[i : i + 100], [len(x) for x, _ in found])), pa.array(starts.astype(np.int32)), pa.array(keys)], names=["rid", "start", "key"])
 
     return run
 
 
-_SPANS = "rid long, start int, end int, part int, side int, key long, after binary, before binary, pos int"
-_SPAN_SCHEMA = pa.schema([("rid", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("key", pa.int64()), ("after", pa.binary()), ("before", pa.binary()), ("pos", pa.int32())])
-
-
-def _span_rows(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    n = len(rid)
-    known = {"rid": pa.array(rid, pa.int64()), "start": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32))}
-    return pa.RecordBatch.from_arrays([known.get(f.name, pa.nulls(n, f.type)) for f in _SPAN_SCHEMA], schema=_SPAN_SCHEMA)
-
-
-def _edge_rows(rows: pa.Table, part: int, side: int) -> pa.RecordBatch:
-    n, rows = rows.num_rows, rows.combine_chunks()
-    known = {c: rows.column(c).combine_chunks() for c in rows.column_names} | {"part": pa.array([part] * n, pa.int32()), "side": pa.array([side] * n, pa.int32())}
-    arrays = [known[f.name].cast(f.type) if f.name in known else pa.nulls(n, f.type) for f in _SPAN_SCHEMA]
-    return pa.RecordBatch.from_arrays(arrays, schema=_SPAN_SCHEMA)
-
-
-def _across(edges: pa.Table, min_words: int) -> list[tuple[int, int, int]]:
-    """Matches between the last suffixes of a range and the first of the next one that has any."""
-    found = set()
-    parts = sorted(set(edges.column("part").to_pylist()))
-    for here, there in zip(parts, parts[1:], strict=False):
-        sides = [edges.filter((pa.compute.field("part") == p) & (pa.compute.field("side") == s)) for p, s in ((here, 1), (there, 0))]
-        pair = pa.concat_tables(sides).combine_chunks()
-        row, start, end = matches(pair, min_words)
-        rids = pair.column("rid").to_numpy()
-        found |= {(int(rids[r]), int(a), int(b)) for r, a, b in zip(row, start, end, strict=True)}
-    return sorted(found)
-
-
 def merge_spans(spans: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
     """Unions of overlapping spans that are min_words long at least."""
     out: list[list[int]] = []
@@ -203,13 +115,18 @@ def _merge_udf(min_words: int):
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
-    def merge(spans: pa.Array) -> pa.Array:
-        rows = (merge_spans([(x["start"], x["end"]) for x in s.as_py()], min_words) for s in spans)
+    def merge(starts: pa.Array) -> pa.Array:
+        rows = (merge_spans([(x, x + min_words) for x in s.as_py()], min_words) for s in starts)
         return pa.array(([{"start": a, "end": b} for a, b in r] for r in rows), kind)
 
     return merge
 
 
+def _of_two_texts(rows: DataFrame, name: str) -> DataFrame:
+    """The keys of rows(key, rid, ...) that more than one text has."""
+    return written(rows.groupBy("key").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).filter("a <> b").select("key"), name)
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_words, copies, spans (array of struct start, end in words).
 
@@ -218,26 +135,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     other than ASCII white space, compared byte by byte. Null and empty texts have no spans; null ids and extra
     columns are harmless; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.xxhash64("text"))
     found = texts.select("rid", "text").mapInArrow(_anchor_batches(min_words), "rid long, pos int, key long")
     found = written(found, "suffix-anchors")
-    shared = written(found.groupBy("key").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).filter("a <> b").select("key"), "suffix-keys")
-    kept = found.join(shared, "key").distinct().groupBy("rid").agg(F.collect_list(F.struct("pos", "key")).alias("kept"))
+    kept = found.join(_of_two_texts(found, "suffix-keys"), "key").groupBy("rid").agg(F.collect_set("pos").alias("kept"))
     kept = written(kept, "suffix-kept")
     # copies meet in one row before the shuffle
     once = texts.groupBy("rid").agg(F.first("text").alias("text"))
-    suffixes = once.join(kept, "rid").select("rid", "text", "kept").mapInArrow(_context_batches(min_words), _SUFFIX)
-    suffixes = written(suffixes, "suffix-rows")
-    order = ["key", "after", "before", "rid", "pos"]
-    ranged = suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    spans = written(ranged.mapInArrow(_neighbour_batches(min_words), _SPANS), "suffix-spans")
-    # a few rows per range
-    across = _across(spans.filter("part is not null").toArrow(), min_words)
-    pairs = spans.filter("part is null").select("rid", "start", "end").union(spark.createDataFrame(across, "rid long, start int, end int"))
-    merged = pairs.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("all"))
-    merged = merged.select("rid", _merge_udf(min_words)("all").alias("spans")).filter(F.size("spans") > 0)
+    runs = once.join(kept, "rid").select("rid", "text", "kept").mapInArrow(_run_batches(min_words), "rid long, start int, key long")
+    runs = written(runs, "suffix-runs")
+    merged = runs.join(_of_two_texts(runs, "suffix-shared"), "key").groupBy("rid").agg(F.collect_set("start").alias("all"))
+    merged = merged.select("rid", _merge_udf(min_words)("all").alias("spans"))
     sized = written(texts.select("doc_id", "rid", F.regexp_count("text", F.lit("[^ \\t-\\r]+")).cast("long").alias("n_words")), "suffix-docs")
     copies = sized.groupBy("rid").agg(F.count("*").alias("copies"))
     known = written(copies.join(merged, "rid", "left"), "suffix-known")

@@ -46,3 +46,31 @@ def test_a_passage_that_many_texts_share(spark):
 def test_nulls_repeats_and_empty_tables(spark):
     assert suffixes.repeated_passages(frame(spark)).count() == len(rows())
     assert suffixes.repeated_passages(frame(spark, [])).count() == 0
+
+
+def check_against_brute_force(spark, texts):
+    some = [(i, t, *[None] * 8) for i, t in enumerate(texts)]
+    got = {r.doc_id: covered(r) for r in suffixes.repeated_passages(frame(spark, some)).collect()}
+    want = slow(dict(enumerate(texts)))
+    assert all(sum(x) for x in want.values()) and {k for k in want if got[k] != want[k]} == set()
+
+
+def test_pairs_that_share_more_of_a_common_passage(spark):
+    import random
+
+    rng = random.Random(11)
+    common, texts = prose(rng, 45), []
+    for _ in range(30):
+        longer = prose(rng, 6)
+        texts += [f"{prose(rng, 20)} {longer} {common} {prose(rng, 20)}" for _ in range(2)]
+    check_against_brute_force(spark, texts)
+
+
+def test_a_passage_many_times_in_one_text_and_once_in_another(spark):
+    import random
+
+    rng, texts = random.Random(12), []
+    for _ in range(5):
+        passage = prose(rng, 55)
+        texts += [" ".join(f"{prose(rng, 9)} {passage}" for _ in range(20)), f"{prose(rng, 30)} {passage} {prose(rng, 30)}"]
+    check_against_brute_force(spark, texts)
