@@ -14,41 +14,24 @@ fingerprints at most, so no task ever gathers an unbounded group. A bucket yield
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm._shared import table, written
 from lexloom.llm.components import connected_components
+from lexloom.llm.similar import deduplicate, shingle_hashes
 
-SEED = 42
-
+__all__ = ["deduplicate", "fingerprint_of", "near_duplicates", "op1_simhash"]
 
 #: The four longs of a 256-bit fingerprint.
 WIDE = ["w0", "w1", "w2", "w3"]
 
 
-def shingle_hashes(text: bytes | None, shingle: int, distinct: bool = False) -> np.ndarray:
-    """XXH64 (seed 42) of a UTF-8 text's word shingles in order; A-Z count as a-z. No words: no hashes."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(words) <= shingle:
-        parts = [b" ".join(words)]
-    elif shingle == 1:
-        parts = words
-    else:
-        parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(x, SEED) for x in (set(parts) if distinct else parts)], dtype=np.uint64)
-
-
 def majority(hashes: np.ndarray) -> int:
     """The unsigned 64-bit number with the bits set that over half the hashes set; 0 without hashes."""
     ones = np.zeros(64, dtype=np.int64)
@@ -217,37 +200,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_l
     return _classes(marked, ["fp"], radius, None, bucket_limit)
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, radius: int = 6, bucket_limit: int = 4096) -> DataFrame:
-    """Groups of documents alike in their five-word shingles: doc_id, fp, component_id as in near_duplicates.
-
-    Candidates are all pairs whose fingerprints over distinct words are within ``radius`` bits (an edit moves such
-    a fingerprint a fifth as far as one over five-word shingles). A candidate links if the angle between 256-bit
-    fingerprints of the five-word shingle sets stands for a Jaccard similarity of ``similarity`` or more.
-    """
-    cosine = 2 * similarity / (1 + similarity)
-    wide_radius = round(256 * math.acos(cosine) / math.pi)
-    marked = with_fingerprint(docs.select("doc_id", "text"), 1, True).withColumn("w", wide_udf(5)("text"))
-    marked = written(marked.select("doc_id", "fp", "w.*"), "simhash-fp")
-    return _classes(marked, ["fp", *WIDE], radius, wide_radius, bucket_limit)
-
-
-def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """docs with one row of each group of similar documents: that of the smallest doc_id.
-
-    Of rows that repeat a doc_id one stays (the least by its text). Rows with a null doc_id stay only where their
-    group has no other id. Columns are those of docs.
-    """
-    kept = written(similar_documents(docs, similarity).select(F.col("component_id").alias("_id")).distinct(), "simhash-keep")
-    repeated = docs.groupBy(F.col("doc_id").alias("_repeated")).agg(F.count("*").alias("n")).filter("n > 1").select("_repeated")
-    twice = F.col("_id").eqNullSafe(F.col("_repeated"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    # ids are told apart before texts are joined, so texts are shuffled once
-    once = docs.join(kept.join(repeated, twice, "left_anti"), same, "left_semi")
-    again = docs.join(kept.join(repeated, twice, "left_semi"), same, "left_semi")
-    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
-    return once.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
-
-
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Every document with its 4-word-shingle fingerprint and its group at 4 bits or less."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
