@@ -92,6 +92,13 @@ def _node_udf(similarity: float, hot: np.ndarray):
     return node
 
 
+@F.arrow_udf(T.LongType())
+def key_of(text: pa.Array) -> pa.Array:
+    """The key of each text's shingle set, as in the nodes."""
+    keys = (xxhash.xxh64_intdigest(shingle_set(x.as_py()).tobytes()) for x in text.cast(pa.binary()))
+    return pa.array(np.fromiter(keys, dtype=np.uint64, count=len(text)).view(np.int64))
+
+
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def shingles_of(text: pa.Array) -> pa.Array:
     return pa.array([shingle_set(x.as_py()).view(np.int64) for x in text.cast(pa.binary())], pa.list_(pa.int64()))
@@ -209,12 +216,8 @@ def _candidates(members: DataFrame, joined: DataFrame, similarity: float, bucket
     return written(shared.filter(F.col("shared") >= _least_shared(F.col("n"), F.col("m"), similarity)).drop("shared"), "similar-pairs")
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, bucket_limit: int = 4096) -> DataFrame:
-    """One row per document: doc_id, key, component_id (smallest doc_id reachable over links).
-
-    ``key`` stands for the set of the text's five-word shingles. Null and empty texts have the empty set and so form one
-    group. Repeated rows stay repeated. A null doc_id is kept and only names a group (as null) where no member has an id.
-    """
+def _grouped(docs: DataFrame, similarity: float, bucket_limit: int) -> DataFrame:
+    """(doc_id, key, component, component_id) of each document; ``component`` tells groups apart, with ids or without."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
     marked = texts.select("doc_id", "tid", _node_udf(similarity, _hot(texts))("text").alias("node")).select("doc_id", "tid", "node.*")
     marked = written(marked, "similar-marked")
@@ -237,21 +240,34 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, bucket_limit: in
     rooted = written(rooted.select("key", "first_id", F.coalesce("component", "key").alias("component")), "similar-rooted")
     least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "similar-least")
     classes = written(rooted.join(least, "component").select("key", "component", "component_id"), "similar-classes")
-    return marked.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "component_id")
+    return marked.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "component", "component_id")
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, bucket_limit: int = 4096) -> DataFrame:
+    """One row per document: doc_id, key, component_id (smallest doc_id reachable over links).
+
+    ``key`` stands for the set of the text's five-word shingles. Null and empty texts have the empty set and so form one
+    group. Repeated rows stay repeated. A null doc_id is kept and only names a group (as null) where no member has an id.
+    """
+    return _grouped(docs, similarity, bucket_limit).drop("component")
 
 
 def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each group of similar documents: that of the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays (the least by its text). Rows with a null doc_id stay only where their
-    group has no other id. Columns are those of docs.
+    A row with a null doc_id stays only where its group has no other id. Rows of one doc_id in several groups stay once
+    for each group that has no smaller id, and rows without an id likewise. Of a group's rows of one doc_id that stays,
+    texts of the least key stay, of these the least row by its text. Columns are those of docs.
     """
-    kept = written(similar_documents(docs, similarity).select(F.col("component_id").alias("_id")).distinct(), "simhash-keep")
-    repeated = docs.groupBy(F.col("doc_id").alias("_repeated")).agg(F.count("*").alias("n")).filter("n > 1").select("_repeated")
-    twice = F.col("_id").eqNullSafe(F.col("_repeated"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    # ids are told apart before texts are joined, so texts are shuffled once
-    once = docs.join(kept.join(repeated, twice, "left_anti"), same, "left_semi")
-    again = docs.join(kept.join(repeated, twice, "left_semi"), same, "left_semi")
-    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
-    return once.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    found = _grouped(docs, similarity, 4096).groupBy("component").agg(first.alias("_first"))
+    kept = written(found.select(F.col("_first.doc_id").alias("doc_id"), F.col("_first.key").alias("_key")), "similar-kept")
+    known = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = written(known.filter("n > 1").select("doc_id"), "similar-repeated")
+    # ids are told apart before texts are joined, so texts are shuffled once; only ids that don't name one row need keys
+    once = docs.join(kept.filter("doc_id is not null").join(repeated, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    several = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null")).withColumn("_key", key_of(F.coalesce("text", F.lit(""))))
+    wanted = kept.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_kept"))
+    again = several.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept")), "left_semi")
+    least = again.groupBy("doc_id", "_key").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
+    return once.select(*docs.columns).unionByName(least.select("doc_id", "_row.*").select(*docs.columns))

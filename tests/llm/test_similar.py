@@ -46,3 +46,11 @@ def test_groups_do_not_depend_on_how_candidates_are_dealt(spark, monkeypatch, li
     some = texts()
     found = similar.similar_documents(frame(spark, [(i, t, *[None] * 8) for i, t in enumerate(some)]), bucket_limit=limit)
     assert {r.doc_id: r.component_id for r in found.collect()} == groups(some)
+
+
+def test_deduplicate_keeps_each_group_of_rows_without_an_id_and_of_one_id(spark):
+    rng = random.Random(4)
+    a, b, c, x, y = (prose(rng, 30) for _ in range(5))
+    some = [(None, a), (None, b), (None, b), (None, c), (7, c), (1, x), (1, y), (5, y), (9, None), (None, "")]
+    got = simhash.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in some])).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, a), (None, b), (7, c), (1, x), (1, y), (9, None)], key=str)
