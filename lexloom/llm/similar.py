@@ -15,11 +15,12 @@ a shingle's bucket; one above ``bucket_limit`` is dealt out as pairs of parts, s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,10 +57,13 @@ def shingle_set(text: bytes | None) -> np.ndarray:
 
 
 def prefix(hashes: np.ndarray, similarity: float, hot: np.ndarray) -> np.ndarray:
-    """The first shingles of a set in the common order, hot ones last, as many as complete candidates need."""
+    """The first shingles of a sorted set in the common order, hot ones last, as many as complete candidates need."""
     n = len(hashes)
     size = n - int(np.ceil(similarity * n - _EPS)) + 1 if n else 0
-    return hashes[np.lexsort((hashes, np.isin(hashes, hot)))[:size]]
+    late = np.zeros(n, dtype=bool)
+    if len(hot):
+        late = hot[np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)] == hashes
+    return np.concatenate([hashes[~late], hashes[late]])[:size]
 
 
 def minima(hashes: np.ndarray) -> list[int]:
@@ -71,6 +75,18 @@ def minima(hashes: np.ndarray) -> list[int]:
     return out
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows here carry whole sets: what is written inside goes to the workers by fewer rows at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _NODE = "struct<key:long,size:int,prefix:array<long>,minima:array<long>>"
 
 
@@ -218,20 +234,21 @@ def _candidates(members: DataFrame, joined: DataFrame, similarity: float, bucket
 
 def _grouped(docs: DataFrame, similarity: float, bucket_limit: int) -> DataFrame:
     """(doc_id, key, component, component_id) of each document; ``component`` tells groups apart, with ids or without."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
-    marked = texts.select("doc_id", "tid", _node_udf(similarity, _hot(texts))("text").alias("node")).select("doc_id", "tid", "node.*")
-    marked = written(marked, "similar-marked")
-    nodes = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("tid", "size", "prefix", "minima")])
-    nodes = written(nodes, "similar-nodes")
-    shingles = nodes.select("key", "size", F.explode("prefix").alias("s"))
-    repeated = written(shingles.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1").select("s"), "similar-shingles")
-    members = written(shingles.join(repeated, "s"), "similar-members")
-    needed = written(nodes.select("key", "tid").join(members.select("key").distinct(), "key", "left_semi"), "similar-needed")
-    # copies meet in one row before the shuffle
-    once = texts.groupBy("tid").agg(F.first("text").alias("text"))
-    sets = written(once.join(needed, "tid").select("key", shingles_of("text").alias("hashes")), "similar-sets")
-    edges = _joined(nodes, sets, similarity)
-    pairs = _candidates(members, written(connected_components(edges), "similar-roots"), similarity, bucket_limit)
+    with _small_batches(docs.sparkSession):
+        texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
+        marked = texts.select("doc_id", "tid", _node_udf(similarity, _hot(texts))("text").alias("node")).select("doc_id", "tid", "node.*")
+        marked = written(marked, "similar-marked")
+        nodes = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("tid", "size", "prefix", "minima")])
+        nodes = written(nodes, "similar-nodes")
+        shingles = nodes.select("key", "size", F.explode("prefix").alias("s"))
+        repeated = written(shingles.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1").select("s"), "similar-shingles")
+        members = written(shingles.join(repeated, "s"), "similar-members")
+        needed = written(nodes.select("key", "tid").join(members.select("key").distinct(), "key", "left_semi"), "similar-needed")
+        # copies meet in one row before the shuffle
+        once = texts.groupBy("tid").agg(F.first("text").alias("text"))
+        sets = written(once.join(needed, "tid").select("key", shingles_of("text").alias("hashes")), "similar-sets")
+        edges = _joined(nodes, sets, similarity)
+        pairs = _candidates(members, written(connected_components(edges), "similar-roots"), similarity, bucket_limit)
     known = pairs.join(sets.select(F.col("key").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("key").alias("v"), F.col("hashes").alias("b")), "v")
     both = F.size(F.array_intersect("a", "b"))
     linked = written(known.filter(both >= F.lit(similarity) * (F.col("n") + F.col("m") - both) - F.lit(_EPS)).select("u", "v"), "similar-linked")
