@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm._shared import written
+from lexloom.llm._shared import scratch, written
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -28,7 +28,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = written(down.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
     moved = down.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return written(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small")
+    return written(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small", keep=True)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -36,15 +36,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Loops and repeated edges are allowed, edges with a null end are left out, and an empty table gives an empty one.
     """
-    edges = written(
-        edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter(F.col("u") != F.col("v")).distinct(), "cc-edges"
-    )
-    before = _signature(edges)
-    while before[0]:
-        edges = _small_star(_large_star(edges))
-        after = _signature(edges)
-        if after == before:
-            break
-        before = after
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
+    spark = edges.sparkSession
+    with scratch(spark):
+        edges = written(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter(F.col("u") != F.col("v")).distinct(), "cc-edges")
+        before = _signature(edges)
+        while before[0]:
+            with scratch(spark):
+                edges = _small_star(_large_star(edges))
+            after = _signature(edges)
+            if after == before:
+                break
+            before = after
+        roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        found = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
+        return written(found, "cc-found", keep=True)

@@ -1,27 +1,27 @@
 """Document fingerprints: a threshold-scaled sketch of word shingles, in DataFrame functions only.
 
 The sketch of a text keeps the hash of every distinct five-word shingle that lies below a fixed fraction of the hash
-range. Sketches of one fraction merge by union, and the share of one sketch's hashes found in another estimates the
-containment of very unequal documents without bias. A short text would keep next to nothing, so a sketch that has
-fewer than ``least`` hashes keeps the ``least`` smallest instead and notes that its threshold is the last of these;
-two sketches are compared below the lower of their thresholds.
+range, whatever the text's length. Sketches merge by union, and the share of one sketch's hashes found in another
+estimates the containment of very unequal documents without bias. A short text may keep no hash at all; beside the
+sketch stands one hash of all its shingles, so equal texts are known as equal and other short ones as different.
 
 Scale: hashing is per row; neighbours in id order come from one shuffle of the texts into ranges of ids (several per
 shuffle partition, cut at percentiles), each with a copy of the first row of the next range, so no task and no window
-ever holds the whole order.
+ever holds the whole order. An id that holds more than a range's share of rows is cut further by its texts' hashes.
+Cuts and borders are one-row and one-row-per-range tables that never pass through the driver's plan.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm._shared import table
+from lexloom.llm._shared import fresh, table
 
 SHINGLE = 5
-SCALE = 8
-LEAST = 32
-_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
+SCALE = 4
+_LOW = -(1 << 63)
 #: Ranges of ids per shuffle partition.
 RANGES = 8
 
@@ -43,93 +43,93 @@ def shingle_hashes(word_hashes: Column, shingle: int = SHINGLE) -> Column:
     return F.sort_array(F.array_distinct(F.when(n > shingle, runs).otherwise(short)))
 
 
-def _cut(hashes: Column, scale: int, least: int) -> Column:
-    """Struct of the kept hashes and the sketch's threshold (inclusive)."""
-    kept = F.filter(hashes, lambda h: h < threshold(scale))
-    few = F.size(kept) < least
-    bound = F.when(~few, F.lit(threshold(scale) - 1)).when(F.size(hashes) <= least, F.lit(_HIGH)).otherwise(F.get(hashes, F.lit(least - 1)))
-    return F.struct(F.when(few, F.slice(hashes, 1, least)).otherwise(kept).alias("hashes"), bound.alias("bound"))
-
+def with_sketch(df: DataFrame, text: str, name: str, shingle: int = SHINGLE, scale: int = SCALE) -> DataFrame:
+    """df with struct ``name`` of hashes (array of long, ascending) and whole (a hash of all shingles' hashes; 0 for none).
 
-def with_sketch(df: DataFrame, text: str, name: str, shingle: int = SHINGLE, scale: int = SCALE, least: int = LEAST) -> DataFrame:
-    """df with struct ``name`` of hashes (array of long, ascending) and bound. Null counts as the empty text."""
-    hashed = df.withColumn("_words", F.transform(words(F.col(text)), lambda w: F.xxhash64(w)))
-    hashed = hashed.withColumn("_hashes", shingle_hashes(F.col("_words"), shingle)).drop("_words")
-    return hashed.withColumn(name, _cut(F.col("_hashes"), scale, least)).drop("_hashes")
+    Null counts as the empty text. ``name`` takes the place of a column so named; other columns stay.
+    """
+    word_hashes, hashes = fresh(df.columns, "word_hashes", "hashes")
+    hashed = df.withColumn(word_hashes, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)))
+    hashed = hashed.withColumn(hashes, shingle_hashes(F.col(word_hashes), shingle)).drop(word_hashes)
+    whole = F.when(F.size(hashes) > 0, F.xxhash64(hashes)).otherwise(F.lit(0).cast("long"))
+    kept = F.filter(hashes, lambda h: h < threshold(scale))
+    return hashed.withColumn(name, F.struct(kept.alias("hashes"), whole.alias("whole"))).drop(hashes)
 
 
-def _below(sketch: Column, bound: Column) -> Column:
-    return F.filter(sketch["hashes"], lambda h: h <= bound)
+def _estimate(a: Column, b: Column, shared: Column, of: Column) -> Column:
+    """shared / of; sketches with nothing to compare are alike only if they are of the same shingles."""
+    same = a["whole"] == b["whole"]
+    return F.when(same, F.lit(1.0)).when(of > 0, shared / of).otherwise(F.lit(0.0))
 
 
 def similarity(a: Column, b: Column) -> Column:
     """Estimated Jaccard similarity of two sketched texts; 1 for two texts without words, 0 for one such text."""
-    bound = F.least(a["bound"], b["bound"])
-    left, right = _below(a, bound), _below(b, bound)
-    both = F.size(F.array_intersect(left, right))
-    either = F.size(left) + F.size(right) - both
-    return F.when(either > 0, both / either).otherwise((F.size(a["hashes"]) == F.size(b["hashes"])).cast("double"))
+    both = F.size(F.array_intersect(a["hashes"], b["hashes"]))
+    return _estimate(a, b, both, F.size(a["hashes"]) + F.size(b["hashes"]) - both)
 
 
 def containment(a: Column, b: Column) -> Column:
     """Estimated share of a's shingles that b has; 1 for a text without words."""
-    bound = F.least(a["bound"], b["bound"])
-    left = _below(a, bound)
-    return F.when(F.size(left) > 0, F.size(F.array_intersect(left, _below(b, bound))) / F.size(left)).otherwise((F.size(a["hashes"]) == 0).cast("double"))
+    shared = F.size(F.array_intersect(a["hashes"], b["hashes"]))
+    return F.when(a["whole"] == 0, F.lit(1.0)).otherwise(_estimate(a, b, shared, F.size(a["hashes"])))
 
 
 def merged(a: Column, b: Column) -> Column:
-    """The sketch of two texts together, below the lower of their thresholds."""
-    bound = F.least(a["bound"], b["bound"])
-    return F.struct(F.sort_array(F.array_union(_below(a, bound), _below(b, bound))).alias("hashes"), bound.alias("bound"))
+    """The sketch of two texts together; which whole texts it stands for is told by the xor of theirs."""
+    return F.struct(F.sort_array(F.array_union(a["hashes"], b["hashes"])).alias("hashes"), a["whole"].bitwiseXOR(b["whole"]).alias("whole"))
 
 
 def printed(sketch: Column) -> Column:
-    """The sketch as text: its threshold and hashes in hexadecimal."""
-    return F.concat_ws(":", F.hex(sketch["bound"]), F.array_join(F.transform(sketch["hashes"], lambda h: F.hex(h)), ""))
+    """The sketch as text: the whole's hash and the kept hashes in hexadecimal."""
+    return F.concat_ws(":", F.hex(sketch["whole"]), F.array_join(F.transform(sketch["hashes"], lambda h: F.hex(h)), ""))
 
 
 def with_next(docs: DataFrame, columns: list[str], by: str = "doc_id", ranges: int | None = None) -> DataFrame:
     """docs with next_<column>: that column of the next row in descending order of ``by``, after the last the first's.
 
-    Rows of one id go by their text; null ids are last. A single row is its own next. Ids are read twice beforehand:
-    for the percentiles at which ranges are cut, and for the greatest id in each range, a number of values that the
-    number of partitions fixes.
+    Rows of one id go by their texts' hash, descending, then by text; null ids are last. A single row is its own next.
+    Ids are read twice beforehand: for the percentiles at which ranges are cut, and for the first row of each range.
     """
     spark = docs.sparkSession
     n = ranges or RANGES * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = docs.withColumn("_key", F.coalesce(F.col(by).cast("long"), F.lit(_LOW)))
-    ids = keyed.select("_key")
-    steps = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
-    cuts = sorted(set(ids.agg(F.percentile_approx("_key", steps, F.lit(max(10_000, 20 * n)))).first()[0] or [0]))
-    # halving: the number of cuts below the key
-    halves = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    cut_list = F.array(*[F.lit(x).cast("long") for x in cuts])
-    place = F.aggregate(
-        F.array(*[F.lit(x) for x in halves]),
-        F.lit(0),
-        lambda at, step: F.when((at + step <= len(cuts)) & (F.get(cut_list, at + step - 1) < F.col("_key")), at + step).otherwise(at),
-    )
-    ranged = keyed.withColumn("_range", place)
-    firsts = {r["_range"]: r["first"] for r in ids.withColumn("_range", place).groupBy("_range").agg(F.max("_key").alias("first")).collect()}
-    full = sorted(firsts)
-    into = {x: full[(i + 1) % len(full)] for i, x in enumerate(full)}
-    first_of = F.array(*[F.lit(firsts.get(i)).cast("long") for i in range(len(cuts) + 1)])
-    into_of = F.array(*[F.lit(into.get(i, 0)) for i in range(len(cuts) + 1)])
-    own = F.struct(F.col("_range").alias("at"), F.lit(False).alias("ghost"))
-    ghost = F.struct(F.get(into_of, F.col("_range")).alias("at"), F.lit(True).alias("ghost"))
-    is_first = F.get(first_of, F.col("_range")) == F.col("_key")
-    dealt = ranged.withColumn("_to", F.explode(F.when(is_first, F.array(own, ghost)).otherwise(F.array(own))))
-    order = Window.partitionBy("_to.at").orderBy(F.col("_to.ghost"), F.col("_key").desc(), F.col("text").asc_nulls_first())
-    led = dealt.withColumn("_next", F.lead(F.struct(*columns)).over(order)).filter(~F.col("_to.ghost"))
-    return led.select(*docs.columns, *[F.col("_next")[c].alias(f"next_{c}") for c in columns])
+    key, tie, cut, place, first, into, to, led = fresh([*docs.columns, *(f"next_{c}" for c in columns)], "key", "tie", "cuts", "place", "first", "into", "to", "led")
+    keyed = docs.withColumn(key, F.coalesce(F.col(by).cast("long"), F.lit(_LOW)))
+    steps = F.lit(np.arange(1, max(2, n)) / n)
+    cuts = keyed.agg(F.coalesce(F.percentile_approx(key, steps, F.lit(max(10_000, 20 * n))), F.array(F.lit(0).cast("long"))).alias(cut))
+
+    def below(equal: bool) -> Column:
+        """How many cuts lie below the key (or not above it), by halving."""
+        size = F.size(cut)
+        fits = lambda at: F.get(F.col(cut), at) <= F.col(key) if equal else F.get(F.col(cut), at) < F.col(key)
+        halves = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length() + 1))])
+        return F.aggregate(halves, F.lit(0), lambda at, step: F.when((at + step <= size) & fits(at + step - 1), at + step).otherwise(at))
+
+    # an id that holds several cuts has as many ranges, dealt by the texts' hashes
+    share = (F.xxhash64("text").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    spans = below(True) - below(False)
+    at = below(False) + F.when(spans > 1, F.least(F.floor(share * spans).cast("int"), spans - 1)).otherwise(0)
+    # one row of n cuts at most
+    ranged = keyed.crossJoin(F.broadcast(cuts)).withColumn(place, at).withColumn(tie, F.xxhash64("text")).drop(cut)
+    firsts = ranged.groupBy(place).agg(F.max(F.struct(key, tie)).alias(first))
+    everything = Window.partitionBy(F.lit(0))
+    up = F.lead(place).over(everything.orderBy(place))
+    # one row for each of the n ranges at most
+    borders = firsts.withColumn(into, F.coalesce(up, F.min(place).over(everything)))
+    own, ghost = (F.struct(F.col(c).alias("at"), F.lit(c == into).alias("ghost")) for c in (place, into))
+    is_first = F.struct(key, tie) == F.col(first)
+    dealt = ranged.join(F.broadcast(borders), place).withColumn(to, F.explode(F.when(is_first, F.array(own, ghost)).otherwise(F.array(own))))
+    dealt = dealt.drop(first, into, place)
+    order = Window.partitionBy(f"{to}.at").orderBy(F.col(f"{to}.ghost"), F.col(key).desc(), F.col(tie).desc(), F.col("text").asc_nulls_first())
+    followed = dealt.withColumn(led, F.lead(F.struct(*columns)).over(order)).filter(~F.col(f"{to}.ghost"))
+    return followed.select(*docs.columns, *[F.col(led)[c].alias(f"next_{c}") for c in columns])
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Per document: its fingerprint, that of its text with the last third overwritten, and their likeness.
 
     Output: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next (Jaccard), and
-    the containments in_edited and in_next. Null counts as the empty text; an empty table gives an empty result.
+    the containments in_edited and in_next. Null counts as the empty text; rows of one id go as with_next() says;
+    repeated rows stay; extra columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     both = with_next(with_sketch(texts, "text", "sketch"), ["text", "sketch"])

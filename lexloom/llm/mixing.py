@@ -1,13 +1,17 @@
 """Mixing sources to target weights.
 
 Words are summed per source; a water level over the sources' caps turns weights into targets; the repetition rate of
-a source is its target over its size. A document is emitted floor(rate) times, plus once more if a hash of its id and
-its source's seed, as a number in [0, 1), lies below the fraction. Each source uses that one of TRIES seeds whose draw
-comes nearest its target, which a few long documents would otherwise upset. The draw depends on nothing but ids and
-sizes, so retried tasks, reruns and other partitionings emit the same copies.
+a source is its target over its size. A document is emitted floor(rate) times, plus once more by a hash-seeded draw
+whose probability is the fraction. The draws of a source are dependent, which keeps its total near the target: its
+documents form classes of nearly one size (two leading digits), and from the largest class down each gets the share of
+the words still wanted among the words still to come, a number that is the fraction on average whatever came before.
+Of that share of the class, rounded by a hash, the documents with the least hashes are drawn. Everything depends on
+ids, sizes and the seed alone, so retried tasks, reruns and other partitionings emit the same copies.
 
 Scale: texts are scanned once for their sizes, which are aggregated before the shuffle. The table of sources has one
-row per source and is the only thing ranked as a whole; joins with it are left to the optimizer's size checks.
+row per source and is the only thing ranked as a whole; a source has some hundred classes. No class is ranked: counts
+of hash cells, as many as keep a cell's rows few, find the cell where the drawn ones end, and only that cell is
+sorted. Joins are left to the optimizer's size checks.
 """
 
 from __future__ import annotations
@@ -15,21 +19,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm._shared import id_text, table, word_count, written
+from lexloom.llm._shared import fresh, id_text, scratch, table, word_count, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 42
-TRIES = 16
+#: Rows that a hash cell holds on average at most.
+CELL = 4096
 
 
-def draw(doc_id: Column, seed: Column) -> Column:
-    """A number in [0, 1) from the first 52 bits of the MD5 of seed and id."""
-    digest = F.md5(F.concat(seed.cast("string"), F.lit(":"), id_text(doc_id)).cast("binary"))
+def _unit(text: Column, seed: int) -> Column:
+    """A number in [0, 1) from the first 52 bits of the MD5 of seed and text."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
+def draw(doc_id: Column, text: Column, seed: int) -> Column:
+    """A document's number in [0, 1), by its id or, where it has none, by its text."""
+    return _unit(F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))), seed)
+
+
+def size_class(size: Column) -> Column:
+    """The number of a size's digits and its first two, as an int that grows with the size."""
+    printed = size.cast("string")
+    return F.length(printed) * 100 + F.substring(F.rpad(printed, 2, "0"), 1, 2).cast("int")
+
+
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """sized(source, size) -> one row per source: source, source_size, weight, target, rate.
 
@@ -51,50 +67,93 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return leveled.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "weight", "target", "rate")
 
 
-def _joined(sized: DataFrame, targets: DataFrame, keep: dict[str, str]) -> DataFrame:
-    """sized with the columns of the written table targets that ``keep`` names, under its names."""
-    renamed = targets.select(F.col("source").alias("_source"), *[F.col(c).alias(name) for c, name in keep.items()])
-    return sized.join(renamed, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-
+def _class_draws(classes: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """classes(source, class, n, words) and targets -> source, class, n, drawn: how many of a class are drawn (one fold per source)."""
+    rounding = _unit(F.concat_ws(":", id_text(F.col("source")), F.col("class").cast("string")), seed)
+    listed = classes.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("class", "n", "words", rounding.alias("u"))), asc=False).alias("classes"))
+    renamed = targets.select(F.col("source").alias("of"), "source_size", "rate")
+    known = listed.join(renamed, F.col("source").eqNullSafe(F.col("of")))
+    fraction = F.col("rate") - F.floor("rate")
+    start = F.struct((fraction * F.col("source_size")).alias("wanted"), F.col("source_size").cast("double").alias("left"), F.array().cast("array<struct<class:int,n:bigint,drawn:bigint>>").alias("done"))
 
-def _plan_sources(sized: DataFrame, weights, share: float, most: float, seed: int, tries: int) -> DataFrame:
-    """Targets of the written table sized(doc_id, source, size), with each source's seed; the draws are summed per source."""
-    targets = written(source_targets(sized, weights, share, most), "mix-targets")
-    fraction = F.col("_rate") - F.floor("_rate")
-    taken = [F.sum(F.when(draw(F.col("doc_id"), F.lit(seed + i)) < fraction, F.col("size")).otherwise(0)).alias(f"_t{i}") for i in range(tries)]
-    sums = _joined(sized, targets, {"rate": "_rate"}).groupBy("source").agg(*taken)
-    sums = sums.withColumnRenamed("source", "_of")
-    missed = lambda i: F.abs(F.col(f"_t{i}") - (F.col("rate") - F.floor("rate")) * F.col("source_size"))
-    best = F.array_min(F.array(*[F.struct(missed(i).alias("missed"), F.lit(seed + i).alias("seed")) for i in range(tries)]))["seed"]
-    chosen = targets.join(sums, F.col("source").eqNullSafe(F.col("_of"))).withColumn("seed", best)
-    return written(chosen.select("source", "source_size", "weight", "target", "rate", "seed"), "mix-seeds")
+    def step(at: Column, c: Column) -> Column:
+        share = F.when(at["left"] > 0, F.least(F.greatest(at["wanted"] / at["left"], F.lit(0.0)), F.lit(1.0))).otherwise(fraction)
+        drawn = F.floor(c["n"] * share + c["u"])
+        return F.struct(
+            (at["wanted"] - drawn * c["words"] / c["n"]).alias("wanted"),
+            (at["left"] - c["words"]).alias("left"),
+            F.concat(at["done"], F.array(F.struct(c["class"].alias("class"), c["n"].alias("n"), drawn.alias("drawn")))).alias("done"),
+        )
 
+    return known.select("source", F.explode(F.aggregate("classes", start, step)["done"]).alias("c")).select("source", "c.*")
 
-def _with_copies(docs: DataFrame, plan: DataFrame, keep: dict[str, str]) -> DataFrame:
-    """docs with _copies and the named columns of the sources' plan."""
-    joined = _joined(docs, plan, keep | {"rate": "_rate", "seed": "_seed"})
-    whole = F.floor("_rate")
-    extra = (draw(F.col("doc_id"), F.col("_seed")) < F.col("_rate") - whole).cast("long")
-    return joined.withColumn("_copies", whole.cast("long") + extra).drop("_rate", "_seed")
 
+def _limits(sized: DataFrame, drawn: DataFrame) -> DataFrame:
+    """source, class, limit: a document of that class is drawn if its number is the limit at most (null: never).
 
-def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, tries: int = TRIES) -> DataFrame:
+    The limit is the greatest number that fewer than ``drawn`` of the class lie below.
+    """
+    renamed = written(drawn.withColumnRenamed("source", "of").withColumnRenamed("class", "in"), "mix-drawn")
+    matches = F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in"))
+    cell = F.floor(F.col("draw") * F.ceil(F.col("n") / CELL))
+    celled = sized.join(renamed.filter("drawn > 0"), matches).select("source", "class", "drawn", "draw", cell.alias("cell"))
+    counts = celled.groupBy("source", "class", "drawn", "cell").agg(F.count("*").alias("here"))
+
+    def last(rows: DataFrame, by: str, before: Column) -> DataFrame:
+        """The last of each class's rows before which fewer than ``drawn`` come, with their number."""
+        order = Window.partitionBy("source", "class").orderBy(by)
+        summed = rows.withColumn("before", before + F.coalesce(F.sum("here").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        return summed.filter("before < drawn").groupBy("source", "class").agg(F.max(F.struct(by, "before")).alias("last"))
+
+    ends = written(last(counts, "cell", F.lit(0)).select(F.col("source").alias("of"), F.col("class").alias("in"), "last.*"), "mix-cells")
+    few = celled.join(ends.withColumnRenamed("cell", "end"), matches & (F.col("cell") == F.col("end"))).groupBy("source", "class", "drawn", "draw", "before").agg(F.count("*").alias("here"))
+    return last(few, "draw", F.col("before")).select("source", "class", F.col("last.draw").alias("limit"))
+
+
+def _plan(docs: DataFrame, weights, share: float, most: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(source, class, source_size, target, rate, limit), and sized(doc_id, source, size, draw, class), both written."""
+    size = word_count(F.col("text"))
+    sized = docs.select("doc_id", "source", size.alias("size"), draw(F.col("doc_id"), F.col("text"), seed).alias("draw"))
+    sized = written(sized.withColumn("class", size_class(F.col("size"))), "mix-sizes", keep=True)
+    classes = written(sized.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-classes")
+    targets = written(source_targets(classes.select("source", F.col("words").alias("size")), weights, share, most), "mix-targets")
+    limits = _limits(sized, _class_draws(classes, targets, seed))
+    each = classes.select(F.col("source").alias("of"), F.col("class").alias("in"))
+    plan = each.join(limits, F.col("of").eqNullSafe(F.col("source")) & (F.col("in") == F.col("class")), "left").select("of", "in", "limit")
+    plan = plan.join(targets, F.col("of").eqNullSafe(F.col("source"))).select("source", F.col("in").alias("class"), "source_size", "target", "rate", "limit")
+    return written(plan, "mix-plan", keep=True), sized
+
+
+def _copies(number: Column, rate: Column, limit: Column) -> Column:
+    return F.floor(rate) + F.coalesce((number <= limit).cast("long"), F.lit(0))
+
+
+def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """One row per document row: doc_id, source, size, source_size, target, copies.
 
     Null texts, texts without words and sources without words have size 0 and take no part in the sums; a source
     without words has target and rate 0. A null source is a source of its own, the last. Repeated rows count each;
-    rows of one doc_id share their draw. An empty table gives an empty plan. Extra columns are ignored.
+    rows of one doc_id and size share their draw, as do rows without an id of one text. An empty table gives an empty
+    plan. Extra columns are ignored.
     """
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    plan = _plan_sources(sized, weights, share, most, seed, tries)
-    return _with_copies(sized, plan, {"source_size": "source_size", "target": "target"}).withColumnRenamed("_copies", "copies")
+    with scratch(docs.sparkSession):
+        plan, sized = _plan(docs, weights, share, most, seed)
+    plan = plan.withColumnRenamed("source", "of").withColumnRenamed("class", "in")
+    joined = sized.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in")))
+    return joined.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("draw"), F.col("rate"), F.col("limit")).alias("copies"))
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, tries: int = TRIES) -> DataFrame:
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mixed corpus: each row of docs, all columns kept, as often as the mix takes it (see mix_plan)."""
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    taken = _with_copies(docs, _plan_sources(sized, weights, share, most, seed, tries), {}).filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    with scratch(docs.sparkSession):
+        plan, _ = _plan(docs, weights, share, most, seed)
+    number, class_, of, in_, rate, limit, copy = fresh(docs.columns, "number", "class", "of", "in", "rate", "limit", "copy")
+    marked = docs.withColumn(number, draw(F.col("doc_id"), F.col("text"), seed)).withColumn(class_, size_class(word_count(F.col("text"))))
+    plan = plan.select(F.col("source").alias(of), F.col("class").alias(in_), F.col("rate").alias(rate), F.col("limit").alias(limit))
+    joined = marked.join(plan, F.col("source").eqNullSafe(F.col(of)) & (F.col(class_) == F.col(in_)))
+    copies = _copies(F.col(number), F.col(rate), F.col(limit)).cast("int")
+    repeated = joined.withColumn(copy, F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))))
+    return repeated.select(*docs.columns)
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
@@ -104,8 +163,12 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = """
-WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0)::BIGINT AS size FROM documents
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+  FROM documents
+), classed AS (
+  SELECT *, len(size::VARCHAR) * 100 + left(rpad(size::VARCHAR, 2, '0'), 2)::INTEGER AS class FROM sized
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
@@ -121,15 +184,20 @@ WITH sized AS (
   SELECT source, source_size, least(cap, max(own) OVER () * weight) AS target FROM own
 ), rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets
-), draws AS (
-  SELECT s.source, k AS seed, abs(sum(CASE WHEN ('0x' || substr(md5(k::VARCHAR || ':' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN s.size ELSE 0 END)::BIGINT
-         - (any_value(r.rate) - floor(any_value(r.rate))) * any_value(r.source_size)) AS missed
-  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source CROSS JOIN (SELECT unnest(generate_series(42, 57)) AS k) GROUP BY s.source, k
-), seeds AS (
-  SELECT source, seed FROM draws QUALIFY row_number() OVER (PARTITION BY source ORDER BY missed, seed) = 1
+), classes AS (
+  SELECT source, class, count(*)::DOUBLE AS n, sum(size)::DOUBLE AS words, row_number() OVER (PARTITION BY source ORDER BY class DESC) AS i,
+         ('0x' || substr(md5('42:' || coalesce(source, 'null') || ':' || class), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM classed GROUP BY source, class
+), steps AS (
+  SELECT source, 0::BIGINT AS i, -1 AS class, 0.0::DOUBLE AS drawn, (rate - floor(rate)) * source_size AS wanted, source_size::DOUBLE AS remaining, rate - floor(rate) AS fraction FROM rates
+  UNION ALL
+  SELECT source, i, class, drawn, wanted - drawn * words / n, remaining - words, fraction
+  FROM (SELECT c.*, s.wanted, s.remaining, s.fraction,
+               floor(c.n * CASE WHEN s.remaining > 0 THEN least(greatest(s.wanted / s.remaining, 0.0::DOUBLE), 1.0::DOUBLE) ELSE s.fraction END + c.u) AS drawn
+        FROM steps s JOIN classes c ON c.source IS NOT DISTINCT FROM s.source AND c.i = s.i + 1)
+), ranked AS (
+  SELECT *, rank() OVER (PARTITION BY source, class ORDER BY draw) AS place FROM classed
 )
-SELECT s.doc_id, s.size, r.source_size, r.target,
-       (s.size * (floor(r.rate)::BIGINT
-        + CASE WHEN ('0x' || substr(md5(d.seed::VARCHAR || ':' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM sized s LEFT JOIN rates r ON s.source IS NOT DISTINCT FROM r.source LEFT JOIN seeds d ON s.source IS NOT DISTINCT FROM d.source
+SELECT k.doc_id, k.size, r.source_size, r.target, (k.size * (floor(r.rate)::BIGINT + CASE WHEN k.place <= s.drawn THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked k JOIN rates r ON k.source IS NOT DISTINCT FROM r.source JOIN steps s ON s.source IS NOT DISTINCT FROM k.source AND s.class = k.class
 """

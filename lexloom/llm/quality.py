@@ -3,7 +3,8 @@
 A text becomes a fixed vector of statistics; cosines of random projections of the standardised vector approximate a
 Gaussian kernel; each partition of the training rows sums its share of the normal equations, and the sums solve for
 the ridge weights; raw scores of labelled rows that the fit did not see are turned into probabilities by isotonic
-regression.
+regression. These raw scores come from cross-fitting: the sums of each fold's rows are kept apart, so the weights that score
+a fold are solved from the sums of the others; the weights that score documents come from all sums.
 
 Fitting uses at most ``max_rows`` labelled rows (those of the least id hash), a documented bound; scoring is a single
 pass over all texts without a shuffle. The model (some thousand numbers) travels with the scoring function.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import table
+from lexloom.llm._shared import fresh, table, written
 
 MAX_ROWS = 20_000
 FEATURES = 256
@@ -30,7 +31,7 @@ THRESHOLD = 0.3
 FOLDS = 5
 SEED = 42
 #: Partial sums of the normal equations that reach the driver at most.
-SUMS = 8
+SUMS = 4
 
 _STOPS = frozenset(b".!?:;\"')")
 _LETTER = np.zeros(256, dtype=bool)
@@ -39,6 +40,14 @@ _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,;:!?'\"()-"]] = True
 
 
+def _runs(left: np.ndarray, right: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many distinct pairs two aligned sequences of codes have (1 for none), and the pairs' codes."""
+    if not len(right):
+        return 1, right
+    kinds, codes = np.unique(left[: len(right)] * (int(right.max()) + 1) + right, return_inverse=True)
+    return len(kinds), codes
+
+
 def statistics(text: bytes | None) -> list[float]:
     """The statistics of one UTF-8 text; all zeros for null and texts without words."""
     raw = text or b""
@@ -50,8 +59,10 @@ def statistics(text: bytes | None) -> list[float]:
     of = np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256)
     letters, upper, lower = int(of[_LETTER].sum()), int(of[65:91].sum()), int(of[97:123].sum())
     counts = Counter(words)
-    pairs = len(set(zip(words, words[1:], strict=False))) if n > 1 else 1
-    fives = len(set(zip(*(words[i:] for i in range(5)), strict=False))) if n > 5 else 1
+    number = dict(zip(counts, range(len(counts)), strict=True))
+    codes = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=n)
+    pairs, two = _runs(codes, codes[1:])
+    fives = _runs(_runs(two, two[2:])[1], codes[4:])[0] if n > 5 else 1
     lines = [x for x in raw.split(b"\n") if x.strip()]
     line_kinds = len(set(lines))
     marked = sum(_SYMBOL[w[-1]] for w in words)
@@ -118,17 +129,15 @@ class Model:
         return self.lift(x) @ self.beta
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        raw = self.raw(x)
-        # a hundredth of the raw score keeps documents of one isotonic step in order
-        return (0.99 * np.interp(raw, self.knots, self.values) + 0.01 * raw.clip(0, 1)).clip(0, 1)
+        return np.interp(self.raw(x), self.knots, self.values)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators fit of y on x: the blocks' mean x, ascending, and their mean y."""
-    order = np.argsort(x, kind="stable")
+    """Pool-adjacent-violators fit of y on x, equal x first made one: the blocks' mean x, ascending, and their mean y."""
+    at, inverse, n = np.unique(x, return_inverse=True, return_counts=True)
     blocks: list[list[float]] = []
-    for a, b in zip(x[order], y[order], strict=True):
-        blocks.append([a, b, 1.0])
+    for a, b, c in zip(at, np.bincount(inverse, y), n, strict=True):
+        blocks.append([a * c, b, float(c)])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
             last = blocks.pop()
             blocks[-1] = [p + q for p, q in zip(blocks[-1], last, strict=True)]
@@ -142,7 +151,7 @@ def fold(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
-    """(fold, label, stats) of at most max_rows labelled documents outside fold 0, one row per id.
+    """(doc_id, fold, label, stats) of at most max_rows labelled documents outside fold 0, one row per id.
 
     Conflicting labels of an id count as 1 if their mean is 0.5 or more; null labels and ids are left out.
     """
@@ -151,57 +160,71 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", ma
     # bounded by max_rows, so the broadcast is too
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    stats = found.select("doc_id", fold(F.col("doc_id")).alias("fold"), "label", statistics_udf()("text").alias("stats"))
-    return stats.groupBy("doc_id", "fold", "label").agg(F.min("stats").alias("stats")).select("fold", "label", "stats")
+    stats = found.select("doc_id", fold(F.col("doc_id")).cast("int").alias("fold"), "label", statistics_udf()("text").alias("stats"))
+    return stats.groupBy("doc_id", "fold", "label").agg(F.min("stats").alias("stats"))
 
 
 def _moment_batches(shape: Model):
+    """Per fold of a partition's rows: their number and the upper half of their normal equations."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = len(shape.phase) + 1
-        gram, moment, n = np.zeros((d, d)), np.zeros(d), 0
+        sums = [[0, np.zeros((d, d)), np.zeros(d)] for _ in range(FOLDS)]
         for batch in batches:
-            x = _matrix(batch.column(1))
-            z, y = shape.lift(x), batch.column(0).to_numpy(zero_copy_only=False)
-            gram += z.T @ z
-            moment += z.T @ y
-            n += len(y)
-        yield pa.RecordBatch.from_pydict({"n": [n], "gram": [gram.tobytes()], "moment": [moment.tobytes()]})
+            folds, z, y = batch.column(0).to_numpy(), shape.lift(_matrix(batch.column(2))), batch.column(1).to_numpy()
+            for k in np.unique(folds):
+                own = folds == k
+                sums[k] = [sums[k][0] + int(own.sum()), sums[k][1] + z[own].T @ z[own], sums[k][2] + z[own].T @ y[own]]
+        half = np.triu_indices(d)
+        rows = [(k, n, gram[half].tobytes(), moment.tobytes()) for k, (n, gram, moment) in enumerate(sums) if n]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["fold", "n", "gram", "moment"])
 
     return run
 
 
+def _solved(sums: list, d: int) -> np.ndarray:
+    """Ridge weights from partial sums, added up in the given order."""
+    gram, moment, half = np.zeros((d, d)), np.zeros(d), np.triu_indices(d)
+    for r in sums:
+        gram[half] += np.frombuffer(r["gram"])
+        moment += np.frombuffer(r["moment"])
+    penalty = RIDGE * max(1, sum(r["n"] for r in sums)) * np.eye(d) / FEATURES
+    penalty[-1, -1] = 1e-9
+    return np.linalg.solve(np.triu(gram) + np.triu(gram, 1).T + penalty, moment)
+
+
 def _matrix(stats: pa.Array) -> np.ndarray:
     return stats.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_STATISTICS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Model | None:
-    """Fits on labelled rows outside fold 0; fold 1 calibrates. None without labelled rows."""
-    from lexloom.llm._shared import written
+    """Fits on labelled rows outside fold 0, calibrated by the scores that each fold gets from the others' weights.
 
+    None without labelled rows. A fold that is alone gets its scores from no rows: zeros, so its mean label.
+    """
     rows = written(training_rows(docs, labels, label, max_rows), "quality-training")
     moments = [F.struct(F.avg(F.col("stats")[i]).alias("mean"), F.stddev_pop(F.col("stats")[i]).alias("sd")).alias(f"s{i}") for i in range(N_STATISTICS)]
     first = rows.agg(F.count("*").alias("n"), *moments).first()
     if not first["n"]:
         return None
     rng = np.random.default_rng(SEED)
-    mean = np.array([first[f"s{i}"]["mean"] for i in range(N_STATISTICS)])
-    scale = np.array([first[f"s{i}"]["sd"] or 1.0 for i in range(N_STATISTICS)])
+    mean = np.array([round(first[f"s{i}"]["mean"], 9) for i in range(N_STATISTICS)])
+    scale = np.array([round(first[f"s{i}"]["sd"], 9) or 1.0 for i in range(N_STATISTICS)])
     omega = rng.standard_normal((N_STATISTICS, FEATURES)) / np.sqrt(N_STATISTICS)
     shape = Model(mean, scale, omega, rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(1), np.zeros(1))
-    fitting = rows.filter("fold != 1").select("label", "stats").repartition(SUMS)
-    sums = fitting.mapInArrow(_moment_batches(shape), "n long, gram binary, moment binary").collect()  # SUMS rows
     d = FEATURES + 1
-    n = sum(r["n"] for r in sums)
-    gram = sum((np.frombuffer(r["gram"]).reshape(d, d) for r in sums), np.zeros((d, d)))
-    moment = sum((np.frombuffer(r["moment"]) for r in sums), np.zeros(d))
-    penalty = RIDGE * max(1, n) * np.eye(d) / FEATURES
-    penalty[-1, -1] = 1e-9
-    ridge = Model(mean, scale, omega, shape.phase, np.linalg.solve(gram + penalty, moment), shape.knots, shape.values)
-    # a fold of the bounded sample
-    held = rows.filter("fold = 1").toArrow() if rows.filter("fold = 1").limit(50).count() == 50 else rows.toArrow()
-    x = _matrix(held.column("stats").combine_chunks())
-    knots, values = isotonic(ridge.raw(x), held.column("label").to_numpy())
-    return Model(mean, scale, omega, shape.phase, ridge.beta, knots, values)
+    # rows of one partition and their order depend on ids alone, so sums are the same in every run
+    dealt = rows.repartition(SUMS, "doc_id").sortWithinPartitions("doc_id").select("fold", "label", "stats")
+    parts = dealt.mapInArrow(_moment_batches(shape), "fold int, n long, gram binary, moment binary").collect()  # SUMS * 4 rows
+    parts.sort(key=lambda r: (r["fold"], r["n"], r["moment"]))
+    sample = rows.select("doc_id", "fold", "label", "stats").toArrow().sort_by("doc_id")  # max_rows rows
+    lifted, folds = shape.lift(_matrix(sample.column("stats").combine_chunks())), sample.column("fold").to_numpy()
+    raw = np.zeros(len(folds))
+    for k in np.unique(folds):
+        others = [r for r in parts if r["fold"] != k]
+        raw[folds == k] = lifted[folds == k] @ _solved(others, d) if others else 0.0
+    knots, values = isotonic(raw, sample.column("label").to_numpy())
+    return Model(mean, scale, omega, shape.phase, _solved(parts, d), knots, values)
 
 
 def score_udf(model: Model | None):
@@ -217,14 +240,17 @@ def score_udf(model: Model | None):
 
 
 def score_quality(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
-    """docs with a column ``name``, in place of one so named. Null and empty texts get the score of a text without words."""
+    """docs with a column ``name``, in place of one so named. Null and empty texts get the score of a text without words.
+
+    Every row is scored by its text alone, so repeated rows stay and score alike; an empty table gives an empty one.
+    """
     return docs.withColumn(name, score_udf(model)("text"))
 
 
 def reject_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of docs that score ``threshold`` or more, fitted on the labelled rows among them outside fold 0."""
-    model = fit(docs, labels, max_rows=max_rows)
-    return score_quality(docs, model, "_lexloom_score").filter(F.col("_lexloom_score") >= threshold).select(*docs.columns)
+    (name,) = fresh(docs.columns, "score")
+    return score_quality(docs, fit(docs, labels, max_rows=max_rows), name).filter(F.col(name) >= threshold).select(*docs.columns)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

@@ -22,14 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import table, written
+from lexloom.llm._shared import scratch, table, written
 from lexloom.llm.components import connected_components
-from lexloom.llm.similar import deduplicate, shingle_hashes
+from lexloom.llm.shingles import shingle_hashes
 
-__all__ = ["deduplicate", "fingerprint_of", "near_duplicates", "op1_simhash"]
-
-#: The four longs of a 256-bit fingerprint.
-WIDE = ["w0", "w1", "w2", "w3"]
+SHINGLE, RADIUS, BUCKET_LIMIT = 4, 4, 4096
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -41,12 +38,12 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprint_of(text: bytes | None, shingle: int = 4, distinct: bool = False) -> int:
+def fingerprint_of(text: bytes | None, shingle: int = SHINGLE, distinct: bool = False) -> int:
     """The unsigned 64-bit fingerprint of a UTF-8 text; 0 for null and for a text without words."""
     return majority(shingle_hashes(text, shingle, distinct))
 
 
-def fingerprint_udf(shingle: int = 4, distinct: bool = False):
+def fingerprint_udf(shingle: int = SHINGLE, distinct: bool = False):
     """Arrow UDF text -> fingerprint as a signed long."""
 
     @F.arrow_udf(T.LongType())
@@ -57,29 +54,6 @@ def fingerprint_udf(shingle: int = 4, distinct: bool = False):
     return simhash
 
 
-def wide_fingerprint(text: bytes | None, shingle: int = 5) -> list[int]:
-    """Four fingerprints over a text's distinct shingles, by independent mixes of their hashes."""
-    hashes = shingle_hashes(text, shingle, True)
-    out = [majority(hashes)]
-    for turn in range(1, 4):
-        x = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out.append(majority(x ^ (x >> np.uint64(31))))
-    return out
-
-
-def wide_udf(shingle: int = 5):
-    """Arrow UDF text -> struct of the four longs of the wide fingerprint."""
-
-    @F.arrow_udf(T.StructType([T.StructField(x, T.LongType()) for x in WIDE]))
-    def wide(text: pa.Array) -> pa.Array:
-        values = np.array([wide_fingerprint(x.as_py(), shingle) for x in text.cast(pa.binary())], dtype=np.uint64)
-        return pa.StructArray.from_arrays(list(values.reshape(-1, 4).view(np.int64).T.copy()), names=WIDE)
-
-    return wide
-
-
 def covering_masks(radius: int, turn: int = 0, bits: int = 64) -> list[int]:
     """The covering masks over ``bits`` positions as unsigned integers; ``turn`` deals the vectors out differently."""
     vectors = (1 << (radius + 1)) - 1
@@ -92,21 +66,18 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(ids: np.ndarray, fps: np.ndarray, radius: int, wide: np.ndarray | None = None, wide_radius: int = 0) -> list[tuple[int, int]]:
+def forest(ids: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Spanning forest (id, id that took it along) of the links within one bucket.
 
     Breadth first: a vertex takes along all unvisited ones that link to it, so a dense group costs one pass.
     """
-    _, first = np.unique(ids, return_index=True)
-    left = first
+    _, left = np.unique(ids, return_index=True)
     edges = []
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop(0)
             near = np.bitwise_count(fps[left] ^ fps[at]) <= radius
-            if wide is not None:
-                near &= np.bitwise_count(wide[left] ^ wide[at]).sum(axis=1) <= wide_radius
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -115,17 +86,15 @@ def forest(ids: np.ndarray, fps: np.ndarray, radius: int, wide: np.ndarray | Non
     return edges
 
 
-def _forest_batches(radius: int, wide_radius: int | None):
+def _forest_batches(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
             ends = lists.offsets.to_numpy()
-            fields = [x.to_numpy(zero_copy_only=False) for x in lists.values.flatten()]
-            ids, fps = fields[0], fields[1].view(np.uint64)
-            wide = None if wide_radius is None else np.stack(fields[2:], axis=1).view(np.uint64)
+            ids, fps = (x.to_numpy(zero_copy_only=False) for x in lists.values.flatten())
             edges = []
             for a, b in zip(ends[:-1], ends[1:], strict=True):
-                edges += forest(ids[a:b], fps[a:b], radius, None if wide is None else wide[a:b], wide_radius or 0)
+                edges += forest(ids[a:b], fps[a:b].view(np.uint64), radius)
             u, v = zip(*edges, strict=True) if edges else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
@@ -138,15 +107,8 @@ def _repeated(keys: DataFrame) -> DataFrame:
     return keys.join(written(counts, "simhash-buckets"), "bucket")
 
 
-def _grouped(keys: DataFrame, columns: list[str]) -> DataFrame:
-    return keys.groupBy("bucket").agg(F.collect_list(F.struct(*columns)).alias("members")).select("members")
-
-
-def links(nodes: DataFrame, radius: int = 4, wide_radius: int | None = None, bucket_limit: int = 4096) -> DataFrame:
-    """nodes(id, fp [, w0..w3]) -> edges (u, v) of ids whose components are those of all links.
-
-    With ``wide_radius`` a link also needs 256-bit fingerprints w0..w3 at that many bits or less.
-    """
+def links(nodes: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """nodes(id, fp), each fp once -> edges (u, v) of ids whose components are those of all links."""
     first, second = covering_masks(radius), covering_masks(radius, turn=1)
     full = (1 << 64) - 1
     keys = [F.struct(F.lit(i).alias("turn"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("bucket")) for i, m in enumerate(first)]
@@ -161,43 +123,33 @@ def links(nodes: DataFrame, radius: int = 4, wide_radius: int | None = None, buc
         .select("id", "fp", "bucket", F.posexplode(F.element_at(finer, F.col("turn") + 1)).alias("turn", "mask"))
         .select("id", "fp", F.xxhash64("bucket", "turn", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"))
     )
-    small, columns = members.filter(F.col("n") <= bucket_limit).select("id", "fp", "bucket"), ["id", "fp"]
-    large = _repeated(refined).select("id", "fp", "bucket")
-    if wide_radius is not None:
-        columns += WIDE
-        extra = nodes.select("id", *WIDE)
-        small, large = small.join(extra, "id"), large.join(extra, "id")
-    groups = _grouped(small, columns).union(_grouped(large, columns))
-    return groups.mapInArrow(_forest_batches(radius, wide_radius), "u long, v long").distinct()
+    small, large = members.filter(F.col("n") <= bucket_limit), _repeated(refined)
+    groups = [x.groupBy("bucket").agg(F.collect_list(F.struct("id", "fp")).alias("members")).select("members") for x in (small, large)]
+    return groups[0].union(groups[1]).mapInArrow(_forest_batches(radius), "u long, v long").distinct()
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = 4, distinct: bool = False, text: str = "text", name: str = "fp") -> DataFrame:
+def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, distinct: bool = False, text: str = "text", name: str = "fp") -> DataFrame:
     """docs with a long column ``name``: the fingerprint of ``text``. Other columns pass through untouched."""
     return docs.withColumn(name, fingerprint_udf(shingle, distinct)(F.col(text)))
 
 
-def _classes(marked: DataFrame, node: list[str], radius: int, wide_radius: int | None, bucket_limit: int) -> DataFrame:
-    """marked(doc_id, *node) -> (doc_id, fp, component_id)."""
-    distinct = marked.groupBy(*node).agg(F.min("doc_id").alias("first_id"))
-    distinct = written(distinct.withColumn("id", F.col("fp") if len(node) == 1 else F.xxhash64(*node)), "simhash-distinct")
-    edges = links(distinct.select("id", *node), radius, wide_radius, bucket_limit)
-    reach = written(connected_components(edges), "simhash-reach")
-    rooted = distinct.join(reach.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rooted = written(rooted.select(*node, "first_id", "component"), "simhash-rooted")
-    least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-least")
-    classes = written(rooted.join(least, "component").select(*node, "component_id"), "simhash-classes")
-    return marked.join(classes, node).select("doc_id", "fp", "component_id")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_limit: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (smallest doc_id reachable over links).
 
     Null and empty texts have fingerprint 0 and so form one group. Repeated rows stay repeated. A null doc_id is
     kept and only names a group (as null) where no member has an id. An empty table gives an empty result. Extra
     columns are ignored.
     """
+    spark = docs.sparkSession
     marked = written(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "simhash-fp")
-    return _classes(marked, ["fp"], radius, None, bucket_limit)
+    with scratch(spark):
+        distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+        reach = written(connected_components(links(distinct.select(F.col("fp").alias("id"), "fp"), radius, bucket_limit)), "simhash-reach")
+        rooted = distinct.join(reach.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        rooted = written(rooted.select("fp", "first_id", "component"), "simhash-rooted")
+        least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-least")
+        classes = written(rooted.join(least, "component").select("fp", "component_id"), "simhash-classes", keep=True)
+    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -1,15 +1,17 @@
-"""Groups of documents alike in their word shingles, by exact Jaccard similarity.
+"""Near copies among documents: SimHash links first, then whatever else is alike, by exact Jaccard similarity.
 
-Two texts link when the sets of their shingles have a Jaccard similarity of ``similarity`` or more. In any one order of
-all shingles, two such sets of n and m share a shingle among their first n - ceil(similarity * n) + 1 and
-m - ceil(similarity * m) + 1, and so many of them that the rest can still make up the similarity: candidates are
-complete, not probable. Each candidate is decided on the whole sets.
+Two texts link when the sets of their shingles have a Jaccard similarity of ``similarity`` or more. The fingerprints of
+the sets and their covering tables (see simhash) give most links; large groups less alike than these reach are joined
+where minima over their sets agree, in buckets cut to ``JOIN_LIMIT`` rows. Every such link is decided on the whole sets.
+A fingerprint's radius can't reach all pairs of that similarity, so a complete search follows for pairs that no link
+joins yet: in any one order of all shingles, two such sets of n and m share a shingle among their first
+n - ceil(similarity * n) + 1 and m - ceil(similarity * m) + 1, and so many of them that the rest can still make up the
+similarity. What it finds is decided on the whole sets too, so the groups are exact.
 
 Scale: texts of one set are one row from the start. Shingles that are frequent in a sample come last in the order, which
 changes no result, so common passages make few candidates. Shingles of one text are dropped by a count that is summed
-before the shuffle. Large groups are joined beforehand where minima over their sets agree, in buckets cut to
-``JOIN_LIMIT`` rows; what this misses is found later, as candidates are all pairs that it has not joined. Only ids meet in
-a shingle's bucket; one above ``bucket_limit`` is dealt out as pairs of parts, so no task gathers more than two parts.
+before the shuffle. Only ids meet in a shingle's bucket; one above ``bucket_limit`` is dealt out as pairs of parts, so no
+task gathers more than two parts. Whole sets are made only of the texts that some link or candidate names.
 """
 
 from __future__ import annotations
@@ -24,31 +26,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import written
+from lexloom.llm._shared import fresh, scratch, written
 from lexloom.llm.components import connected_components
+from lexloom.llm.shingles import shingle_hashes
+from lexloom.llm.simhash import links, majority
 
 SHINGLE = 5
 #: One text in SAMPLE is read for frequent shingles, those of at least OFTEN texts of it; the most frequent HOT of them count.
 SAMPLE, OFTEN, HOT = 16, 4, 200_000
 #: Minima over each set for joining beforehand, the least bucket that is worth it, and the rows it is cut to.
 TURNS, JOIN_FROM, JOIN_LIMIT = 4, 32, 1000
+#: Rows of a shingle's bucket that one task pairs up at most; larger ones are dealt out.
+BUCKET_LIMIT = 4096
 _EPS = 1e-9
-SEED = 42
-
-
-def shingle_hashes(text: bytes | None, shingle: int, distinct: bool = False) -> np.ndarray:
-    """XXH64 (seed 42) of a UTF-8 text's word shingles in order; A-Z count as a-z. No words: no hashes."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(words) <= shingle:
-        parts = [b" ".join(words)]
-    elif shingle == 1:
-        parts = words
-    else:
-        parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(x, SEED) for x in (set(parts) if distinct else parts)], dtype=np.uint64)
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -87,23 +77,22 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-_NODE = "struct<key:long,size:int,prefix:array<long>,minima:array<long>>"
+_NODE = "struct<key:long,size:int,fp:long,prefix:array<long>,minima:array<long>>"
 
 
 def _node_udf(similarity: float, hot: np.ndarray):
-    kind = pa.struct([("key", pa.int64()), ("size", pa.int32()), ("prefix", pa.list_(pa.int64())), ("minima", pa.list_(pa.int64()))])
+    longs = pa.list_(pa.int64())
+    kind = pa.struct([("key", pa.int64()), ("size", pa.int32()), ("fp", pa.int64()), ("prefix", longs), ("minima", longs)])
 
     @F.arrow_udf(_NODE)
     def node(text: pa.Array) -> pa.Array:
-        keys, sizes, prefixes, least = [], [], [], []
+        rows: list[list] = [[], [], [], [], []]
         for x in text.cast(pa.binary()):
             found = shingle_set(x.as_py())
-            keys.append(np.uint64(xxhash.xxh64_intdigest(found.tobytes())).view(np.int64))
-            sizes.append(len(found))
-            prefixes.append(prefix(found, similarity, hot).view(np.int64))
-            least.append(minima(found) if len(found) else [])
-        arrays = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, kind.field(2).type), pa.array(least, kind.field(3).type)]
-        return pa.StructArray.from_arrays(arrays, fields=list(kind))
+            key, fp = (np.uint64(v).view(np.int64) for v in (xxhash.xxh64_intdigest(found.tobytes()), majority(found)))
+            for column, value in zip(rows, (key, len(found), fp, prefix(found, similarity, hot).view(np.int64), minima(found) if len(found) else []), strict=True):
+                column.append(value)
+        return pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(rows, kind, strict=True)], fields=list(kind))
 
     return node
 
@@ -161,52 +150,70 @@ def _join_batches(similarity: float):
     return run
 
 
-def _joined(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Some of the links: those found in large buckets of sets with the same minimum."""
+def _pooled(nodes: DataFrame) -> DataFrame:
+    """(key, bucket) of the sets in large buckets of one minimum, cut to parts."""
     keyed = nodes.select("key", F.posexplode("minima").alias("turn", "least"))
     counts = written(keyed.groupBy("turn", "least").agg(F.count("*").alias("n")).filter(F.col("n") >= JOIN_FROM), "similar-minima")
     part = F.pmod(F.xxhash64("key", "turn"), F.ceil(F.col("n") / JOIN_LIMIT))
-    members = written(keyed.join(counts, ["turn", "least"]).select("key", F.xxhash64("turn", "least", part).alias("bucket")), "similar-large")
-    groups = members.join(sets, "key").groupBy("bucket").agg(F.collect_list(F.struct("key", "hashes")).alias("members"))
+    return written(keyed.join(counts, ["turn", "least"]).select("key", F.xxhash64("turn", "least", part).alias("bucket")), "similar-large")
+
+
+def _joined(pooled: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Some of the links: those found within the buckets."""
+    groups = pooled.join(sets, "key").groupBy("bucket").agg(F.collect_list(F.struct("key", "hashes")).alias("members"))
     return written(groups.select("members").mapInArrow(_join_batches(similarity), "u long, v long"), "similar-joined")
 
 
+def _simhash_links(nodes: DataFrame) -> DataFrame:
+    """Links of sets by their fingerprints: those of one fingerprint with its least key, these with each other."""
+    least = written(nodes.groupBy("fp").agg(F.min("key").alias("id")), "similar-fingerprints")
+    same = nodes.select("key", "fp").join(least, "fp").filter("key <> id").select(F.col("key").alias("u"), F.col("id").alias("v"))
+    return written(same.union(links(least)), "similar-near")
+
+
+def _sets(texts: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, hashes) of the nodes that keys name; copies of a text meet in one row before the shuffle."""
+    needed = written(nodes.select("key", "tid").join(keys.distinct(), "key", "left_semi"), "similar-needed")
+    once = texts.select("tid", "text").join(needed.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+    return written(once.join(needed, "tid").select("key", shingles_of("text").alias("hashes")), "similar-sets")
+
+
+def _decided(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (u, v) whose sets are similar enough. Groups share their v, so v is joined while rows are small."""
+    whole = pairs.select("u", "v").join(sets.select(F.col("key").alias("v"), F.col("hashes").alias("b")), "v").join(sets.select(F.col("key").alias("u"), F.col("hashes").alias("a")), "u")
+    both = F.size(F.array_intersect("a", "b"))
+    enough = F.lit(similarity) * (F.size("a") + F.size("b") - both) - F.lit(_EPS)
+    return written(whole.filter(both >= enough).select("u", "v"), "similar-linked")
+
+
 def _pair_batches(similarity: float, at_once: int = 1 << 17):
     """Pairs of each bucket whose roots differ and whose sizes allow the similarity."""
 
-    def pairs(fields: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((fields["key"], fields["root"]))
-        key, root, size, part, across = (fields[n][order] for n in ("key", "root", "size", "part", "across"))
-        ends = np.searchsorted(root, root, side="right")
-        rest, done = len(key) - ends, 0
-        while done < len(key):
-            # as many rows as pair up to about at_once times with what comes after their root
-            upto = max(done + 1, int(np.searchsorted(np.cumsum(rest[done:]), at_once)) + done)
-            n = rest[done:upto]
-            i = np.repeat(np.arange(done, min(upto, len(key))), n)
-            j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[done:upto], n)
-            keep = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - _EPS
-            keep &= ~across[i] | (part[i] != part[j])
-            i, j = i[keep], j[keep]
-            swap = key[i] > key[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[i], key[j], size[i], size[j])], names=["u", "v", "n", "m"])
-            done = upto
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, rows = [], 0
-            for members in batch.column(0):
-                values = members.values
-                fields = {f.name: values.field(f.name).to_numpy(zero_copy_only=False) for f in values.type}
-                for out in pairs(fields):
-                    held.append(out)
-                    rows += out.num_rows
-                    if rows >= at_once:
-                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                        held, rows = [], 0
-            if rows:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            lists = batch.column(0)
+            members = lists.flatten()
+            key, root, size, part, across = (members.field(n).to_numpy(zero_copy_only=False) for n in ("key", "root", "size", "part", "across"))
+            bucket = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            order = np.lexsort((key, root, bucket))
+            key, root, size, part, across, bucket = (x[order] for x in (key, root, size, part, across, bucket))
+            last = np.concatenate([np.flatnonzero((root[1:] != root[:-1]) | (bucket[1:] != bucket[:-1])) + 1, [len(key)]])
+            ends = last[np.searchsorted(last, np.arange(len(key)), side="right")]
+            rest, done = np.searchsorted(bucket, bucket, side="right") - ends, 0
+            total = np.cumsum(rest)
+            while done < len(key):
+                # as many rows as pair up to about at_once times with what comes after their root in their bucket
+                upto = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + at_once, side="right")))
+                n = rest[done:upto]
+                i = np.repeat(np.arange(done, upto), n)
+                j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[done:upto], n)
+                keep = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - _EPS
+                keep &= ~across[i] | (part[i] != part[j])
+                i, j = i[keep], j[keep]
+                swap = key[i] > key[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[i], key[j], size[i], size[j])], names=["u", "v", "n", "m"])
+                done = upto
 
     return run
 
@@ -234,33 +241,32 @@ def _candidates(members: DataFrame, joined: DataFrame, similarity: float, bucket
 
 def _grouped(docs: DataFrame, similarity: float, bucket_limit: int) -> DataFrame:
     """(doc_id, key, component, component_id) of each document; ``component`` tells groups apart, with ids or without."""
-    with _small_batches(docs.sparkSession):
+    spark = docs.sparkSession
+    with scratch(spark), _small_batches(spark):
         texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
         marked = texts.select("doc_id", "tid", _node_udf(similarity, _hot(texts))("text").alias("node")).select("doc_id", "tid", "node.*")
         marked = written(marked, "similar-marked")
-        nodes = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("tid", "size", "prefix", "minima")])
+        nodes = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("tid", "size", "fp", "prefix", "minima")])
         nodes = written(nodes, "similar-nodes")
+        near, pooled = _simhash_links(nodes), _pooled(nodes)
+        some = _sets(texts, nodes, near.select(F.explode(F.array("u", "v")).alias("key")).union(pooled.select("key")))
+        edges = _decided(near, some, similarity).union(_joined(pooled, some, similarity))
         shingles = nodes.select("key", "size", F.explode("prefix").alias("s"))
         repeated = written(shingles.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1").select("s"), "similar-shingles")
-        members = written(shingles.join(repeated, "s"), "similar-members")
-        needed = written(nodes.select("key", "tid").join(members.select("key").distinct(), "key", "left_semi"), "similar-needed")
-        # copies meet in one row before the shuffle
-        once = texts.groupBy("tid").agg(F.first("text").alias("text"))
-        sets = written(once.join(needed, "tid").select("key", shingles_of("text").alias("hashes")), "similar-sets")
-        edges = _joined(nodes, sets, similarity)
-        pairs = _candidates(members, written(connected_components(edges), "similar-roots"), similarity, bucket_limit)
-    known = pairs.join(sets.select(F.col("key").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("key").alias("v"), F.col("hashes").alias("b")), "v")
-    both = F.size(F.array_intersect("a", "b"))
-    linked = written(known.filter(both >= F.lit(similarity) * (F.col("n") + F.col("m") - both) - F.lit(_EPS)).select("u", "v"), "similar-linked")
-    reach = written(connected_components(edges.union(linked)), "similar-reach")
-    rooted = nodes.select("key", "first_id").join(reach.withColumnRenamed("node", "key"), "key", "left")
-    rooted = written(rooted.select("key", "first_id", F.coalesce("component", "key").alias("component")), "similar-rooted")
-    least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "similar-least")
-    classes = written(rooted.join(least, "component").select("key", "component", "component_id"), "similar-classes")
-    return marked.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "component", "component_id")
-
-
-def similar_documents(docs: DataFrame, similarity: float = 0.8, bucket_limit: int = 4096) -> DataFrame:
+        members = shingles.join(repeated, "s")
+        pairs = _candidates(members, connected_components(edges), similarity, bucket_limit)
+        more = _sets(texts, nodes, pairs.select(F.explode(F.array("u", "v")).alias("key")).join(some.select("key"), "key", "left_anti"))
+        linked = _decided(pairs, some.union(more), similarity)
+        reach = connected_components(edges.union(linked))
+        rooted = nodes.select("key", "first_id").join(reach.withColumnRenamed("node", "key"), "key", "left")
+        rooted = written(rooted.select("key", "first_id", F.coalesce("component", "key").alias("component")), "similar-rooted")
+        least = written(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")), "similar-least")
+        classes = written(rooted.join(least, "component").select("key", "component", "component_id"), "similar-classes")
+        found = marked.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "component", "component_id")
+        return written(found, "similar-found", keep=True)
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """One row per document: doc_id, key, component_id (smallest doc_id reachable over links).
 
     ``key`` stands for the set of the text's five-word shingles. Null and empty texts have the empty set and so form one
@@ -276,15 +282,17 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     for each group that has no smaller id, and rows without an id likewise. Of a group's rows of one doc_id that stays,
     texts of the least key stay, of these the least row by its text. Columns are those of docs.
     """
+    columns = docs.columns
+    key, id_, kept_key, row = fresh(columns, "key", "id", "kept_key", "row")
+    found = _grouped(docs, similarity, BUCKET_LIMIT)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    found = _grouped(docs, similarity, 4096).groupBy("component").agg(first.alias("_first"))
-    kept = written(found.select(F.col("_first.doc_id").alias("doc_id"), F.col("_first.key").alias("_key")), "similar-kept")
+    kept = written(found.groupBy("component").agg(first.alias("first")).select("first.doc_id", "first.key"), "similar-kept")
     known = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
     repeated = written(known.filter("n > 1").select("doc_id"), "similar-repeated")
     # ids are told apart before texts are joined, so texts are shuffled once; only ids that don't name one row need keys
     once = docs.join(kept.filter("doc_id is not null").join(repeated, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null")).withColumn("_key", key_of(F.coalesce("text", F.lit(""))))
-    wanted = kept.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_kept"))
-    again = several.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept")), "left_semi")
-    least = again.groupBy("doc_id", "_key").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
-    return once.select(*docs.columns).unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
+    several = docs.join(repeated, "doc_id", "left_semi").select(*columns).unionByName(docs.filter("doc_id is null")).withColumn(key, key_of(F.coalesce("text", F.lit(""))))
+    wanted = kept.select(F.col("doc_id").alias(id_), F.col("key").alias(kept_key))
+    again = several.join(wanted, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(kept_key)), "left_semi")
+    least = again.groupBy("doc_id", key).agg(F.min(F.struct("text", *[c for c in columns if c not in ("doc_id", "text")])).alias(row))
+    return once.select(*columns).unionByName(least.select("doc_id", f"{row}.*").select(*columns))

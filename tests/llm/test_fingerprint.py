@@ -1,5 +1,6 @@
 import hashlib
 
+import xxhash
 from pyspark.sql import functions as F
 
 from lexloom.llm import fingerprint
@@ -7,7 +8,8 @@ from tests.llm.cases import frame, prose, rows
 
 
 def ordered(some):
-    return sorted(some, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    tie = lambda text: xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return sorted(some, key=lambda r: (r[0] is None, -(r[0] or 0), -(tie(r[1]) ^ 1 << 63), r[1] or ""))
 
 
 def test_edited_texts_equal_the_slow_definition_for_any_ranges(spark):
@@ -43,7 +45,25 @@ def test_short_texts_copies_and_merges(spark):
     assert prints[0] == prints[1] != prints[4] and prints[2] == prints[3]
     pair = frame.filter("t = 'one two'").limit(1).select(F.col("s").alias("x")).crossJoin(frame.filter("t = 'one three'").select(F.col("s").alias("y")))
     row = pair.select(F.size(fingerprint.merged(F.col("x"), F.col("y"))["hashes"]).alias("n"), fingerprint.similarity(F.col("x"), F.col("y")).alias("s")).first()
-    assert (row.n, row.s) == (2, 0.0)
+    assert row.n <= 2 and row.s == 0.0
+
+
+def test_sketches_keep_the_same_fraction_of_every_length(spark):
+    import random
+
+    rng = random.Random(5)
+    texts = [(prose(rng, n),) for n in [8] * 300 + [3000]]
+    sketched = fingerprint.with_sketch(spark.createDataFrame(texts, "t string"), "t", "s").select(F.size(F.split("t", " ")).alias("n"), F.size("s.hashes").alias("k")).collect()
+    short = [r.k for r in sketched if r.n == 8]
+    assert 0 in short and abs(sum(short) / (4 * 300) - 0.25) < 0.05
+    assert all(abs(r.k / (r.n - 4) - 0.25) < 0.03 for r in sketched if r.n == 3000)
+
+
+def test_one_id_for_many_rows_is_cut_by_texts(spark):
+    some = [(5 if i % 2 else i, f"text {i}", *[None] * 8) for i in range(80)] + [(None, f"none {i}", *[None] * 8) for i in range(60)]
+    want = ordered(some)
+    led = fingerprint.with_next(frame(spark, some).select("doc_id", "text"), ["text"], ranges=16)
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in led.collect()) == sorted((str(r[0]), r[1], want[(i + 1) % len(want)][1]) for i, r in enumerate(want))
 
 
 def test_empty_and_single(spark):

@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import re
 from collections import Counter
 
 import numpy as np
@@ -12,7 +11,7 @@ import corpus_pipeline
 from lexloom.llm import pii, quality
 from tests.llm.cases import frame, prose, rows
 from tests.llm.test_bpe import library
-from tests.llm.test_mixing import slow_copies
+from tests.llm.test_mixing import slow_copies, words
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +54,7 @@ def test_run_equals_the_plain_version(spark, sf_dir):
         if not any(alike(sets[i], sets[j]) >= 0.8 for j in range(i)):
             alone.append(r)
     hidden = [(r[0], None if r[1] is None else pii.redact(r[1], pii.find_spans(r[1])), r[3]) for r in alone]
-    copies, _ = slow_copies([(i, len(re.findall("[^\x20\x09-\x0d]+", text or "")), source) for i, text, source in hidden])
+    copies, _, _ = slow_copies([(i, text, words(text), source) for i, text, source in hidden])
     lib, want = library(), Counter()
     for (doc_id, text, source), n in zip(hidden, copies):
         if n:

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lexloom.llm import simhash
+from lexloom.llm import simhash, similar
 from lexloom.llm.components import connected_components
 from tests.llm.cases import frame, rows
 
@@ -63,11 +63,11 @@ def test_groups_equal_brute_force(spark, limit):
 def test_repeated_rows_stay_and_empty_tables_work(spark):
     assert simhash.near_duplicates(frame(spark)).count() == len(rows())
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
-    assert simhash.deduplicate(frame(spark, [])).count() == 0
+    assert similar.deduplicate(frame(spark, [])).count() == 0
 
 
 def test_deduplicate_keeps_one_of_each_group(spark):
-    kept = simhash.deduplicate(frame(spark))
+    kept = similar.deduplicate(frame(spark))
     assert kept.columns == frame(spark).columns
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(5) == 1 and not set(ids) & {6, 7, 8, 9, 10, 11}

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lexloom.llm import simhash, similar
+from lexloom.llm import similar
 from tests.llm.cases import frame, prose
 from tests.llm.test_pipeline import alike, shingles
 from tests.llm.test_simhash import components
@@ -35,7 +35,7 @@ def groups(some):
 def test_deduplicate_equals_brute_force_near_the_limit(spark):
     some = texts()
     want = set(groups(some).values())
-    got = simhash.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in enumerate(some)])).select("doc_id").collect()
+    got = similar.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in enumerate(some)])).select("doc_id").collect()
     assert sorted(r.doc_id for r in got) == sorted(want)
 
 
@@ -52,5 +52,5 @@ def test_deduplicate_keeps_each_group_of_rows_without_an_id_and_of_one_id(spark)
     rng = random.Random(4)
     a, b, c, x, y = (prose(rng, 30) for _ in range(5))
     some = [(None, a), (None, b), (None, b), (None, c), (7, c), (1, x), (1, y), (5, y), (9, None), (None, "")]
-    got = simhash.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in some])).select("doc_id", "text").collect()
+    got = similar.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in some])).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, a), (None, b), (7, c), (1, x), (1, y), (9, None)], key=str)

@@ -29,14 +29,38 @@ def test_parts_and_rules(spark):
     assert urls.filter_urls(frame.limit(0)).count() == 0
 
 
+def judged(spark, rules, paths, host="site.example.com", **tree):
+    frame = spark.createDataFrame([(i, p if "://" in p else f"http://{host}{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    got = urls.filter_urls(frame, rules, **tree).collect()
+    assert len(got) == len(paths)
+    return {paths[r.page_id]: r for r in got}
+
+
 def test_tree_generalises_and_rejects_by_purity(spark):
-    rules = (("block", "site.example", "/ads/a"), ("block", "site.example", "/ads/b"), ("block", "site.example", "/ads/c"), ("allow", "site.example", "/news/"))
-    paths = [f"/ads/{c}{i}" for c in "abc" for i in range(20)] + ["/ads/zeta", "/news/1", "/news/x", "/other/7"]
-    frame = spark.createDataFrame([(i, f"http://site.example{p}") for i, p in enumerate(paths)], "page_id long, url string")
-    got = {r.path: r for r in urls.filter_urls(frame, rules, fanout=3).collect()}
+    rules = (("block", "site.example.com", "/ads/a"), ("block", "site.example.com", "/ads/b"), ("block", "site.example.com", "/ads/c"), ("allow", "site.example.com", "/news/"))
+    news = [f"/news/{w}" for w in ("x", "y")] + [f"/news/{i}/x" for i in range(60)]
+    got = judged(spark, rules, [f"/ads/{c}{i}" for c in "abc" for i in range(30)] + ["/ads/zeta", *news, "/other/7"], fanout=3)
+    # unlabelled /ads/zeta is like the other ads, /other is like the host, whose pages are of both kinds
     assert got["/ads/zeta"].rule is None and got["/ads/zeta"].template == "/ads/*" and got["/ads/zeta"].verdict == "block"
-    assert got["/other/7"].verdict == "allow" and got["/news/1"].template == "/news/0"
-    assert len(got) == len(paths)
+    assert got["/other/7"].verdict == "allow" and got["/other/7"].template == "/*/*" and got["/news/5/x"].template == "/news/*/*"
+
+
+def test_shapes_of_variable_segments(spark):
+    paths = ["/a/2024", "/a/my-long-title.html", "/a/0123456789abcdef01", "/a/one-two", "/a/"]
+    frame = spark.createDataFrame([(p,) for p in paths], "p string").select("p", urls.shape_of(urls.F.col("p")).alias("s"))
+    assert [r.s for r in frame.collect()] == ["a/0", "a/{slug}.html", "a/{id}", "a/one-two", "a/"]
+
+
+def test_pages_without_a_rule_follow_the_nearest_labels(spark):
+    """Pages shaped as in the test tables: one host's few pages are judged with the domain's, a mixed host's by branch."""
+    paths = [f"http://h{i}.example.com/{lang}/{i}.html" for i in range(40) for lang in ("de", "en")]
+    paths += [f"http://h{i}.example.org/{lang}/{i}" for i in range(40) for lang in ("fr", "es")]
+    paths += ["http://new.example.com/en/1", "http://new.example.org/en/1", "http://other.test/x", None, "no scheme"]
+    frame = spark.createDataFrame(list(enumerate(paths)), "page_id long, url string")
+    got = {paths[r.page_id]: r for r in urls.filter_urls(frame).collect()}
+    assert got["http://h3.example.com/en/3.html"].verdict == "block" and got["http://new.example.com/en/1"].verdict == "block"
+    assert got["http://h3.example.org/es/3"].verdict == "allow" and got["http://new.example.org/en/1"].verdict == "allow"
+    assert {got[p].verdict for p in ("http://other.test/x", None, "no scheme")} == {"allow"}
 
 
 def test_repeated_rows_stay(spark):
