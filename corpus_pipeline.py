@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import bpe, mixing, pii, quality, simhash
+from lexloom.llm import bpe, mixing, pii, quality, similar
 from lexloom.llm._shared import table, written
 
 #: No SQL: trained scores, near-copy groups and BPE are beyond it. The tests hold run() against a brute-force version.
@@ -23,8 +23,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group alike by 0.8 or more in its five-word shingles."""
-    return simhash.deduplicate(docs)
+    """One document, that of the smallest id, of each group alike by 0.8 or more in its five-word shingles.
+
+    SimHash links by covering tables come first, an exact check and a complete search for what they can't reach after.
+    """
+    return similar.deduplicate(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
