@@ -188,14 +188,20 @@ def _digests(path: str, pattern: str):
     return run
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs with ids (array of int) of each whole text. Null and empty texts have no ids; other columns stay."""
-    return docs.withColumn("ids", encode_udf(path, pattern)("text"))
+def bpe_encode(docs: DataFrame, path: str, pattern: str, name: str = "ids") -> DataFrame:
+    """docs with a column ``name``, in place of one so named: the ids (array of int) of each whole text.
+
+    Null and empty texts have no ids; every row stays, repeated ones too, and so do other columns; an empty table stays so.
+    """
+    return docs.withColumn(name, encode_udf(path, pattern)("text"))
 
 
-def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """encoded with decoded (binary): the bytes of column ids. An id that the file lacks fails the query."""
-    return encoded.withColumn("decoded", decode_udf(path, pattern)("ids"))
+def bpe_decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
+    """encoded with a column ``name``, in place of one so named: the bytes (binary) of the column of ids.
+
+    An id that the file lacks fails the query; null has no bytes; every row stays, and so do other columns.
+    """
+    return encoded.withColumn(name, decode_udf(path, pattern)(ids))
 
 
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust their score.
 
 Base kinds (email, ip, card, phone) are decided by pattern and validator alone and always stay. Further kinds start
-from a score that a checksum (IBAN: mod-97) or words close before the span (a national phone number, a social
-security number, a date of birth, a passport number) raise; a span is reported at ``threshold`` or more.
+from a score that a checksum (IBAN: its country's length and mod-97) or words close to the span (a national phone
+number, a social security number, a date of birth, a passport number) raise, and that words of other numbers close
+before it lower; a span is reported at ``threshold`` or more.
 
 One pass per document, no shuffle. Every pattern is linear on long runs: no start within a run is tried twice.
 """
@@ -11,8 +12,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +27,8 @@ from lexloom.llm._shared import table
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "phone_local", "birth_date", "passport")
 THRESHOLD = 0.6
-#: Characters before a span in which words count as its context.
-REACH = 40
+#: Characters before and after a span in which words count as its context, and before it as a sign of another number.
+REACH, REACH_AFTER, REACH_AGAINST = 40, 20, 15
 
 # The domain is searched for and the local part read backwards from it: the same leftmost match, without restarts.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +37,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?= ?[A-Z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,5}\) ?|0)[0-9][0-9 ./-]{4,14}[0-9](?![0-9])")
 _BIRTH = re.compile(r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})(?![0-9])")
@@ -50,6 +53,20 @@ _CONTEXT = {
 }
 
 
+#: Words of other numbers (fixed values), and what they take from a score.
+_AGAINST, AGAINST = re.compile(r"order|invoice|isbn|version|serial|sku|article|model|ticket|tracking|bestell|rechnung|facture|pedido|factura", re.I), 0.4
+#: Length of an IBAN by country (fixed values of the public IBAN registry).
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27,
+    "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+_IBAN_REST = {n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(IBAN_LENGTHS.values())}
+
+
 @dataclass(frozen=True, order=True)
 class Span:
     start: int
@@ -104,12 +121,20 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of a country's IBAN length that pass the checksum, whatever stands behind them."""
+    free = 0
+    for m in _IBAN.finditer(text):
+        rest = _IBAN_REST[IBAN_LENGTHS[m[1]]].match(text, m.end()) if m[1] in IBAN_LENGTHS and m.start() >= free else None
+        if rest and mod97(text[m.start() : rest.end()].replace(" ", "")):
+            free = rest.end()
+            yield m.start(), free
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int, float]]:
     """Spans of the further kinds with their score before context."""
-    for m in _IBAN.finditer(text):
-        compact = m[0].replace(" ", "")
-        if 15 <= len(compact) <= 34:
-            yield "iban", *m.span(), 0.7 if mod97(compact) else 0.0
+    for span in _ibans(text):
+        yield "iban", *span, 0.7
     for m in _SSN.finditer(text):
         area, group, serial = m[0].split("-")
         issued = area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
@@ -127,11 +152,17 @@ def find_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     base = base_spans(text)
     if not _DIGITS.search(text):
         return base
+    starts = [x.start for x in base]
+    reached = list(accumulate((x.end for x in base), max))
     more = []
     for kind, start, end, score in _proposed(text):
-        if score and _CONTEXT[kind].search(text, max(0, start - REACH), start):
+        near = _CONTEXT[kind].search
+        if score and (near(text, max(0, start - REACH), start) or near(text, end, end + REACH_AFTER)):
             score = min(1.0, score + 0.5)
-        if score >= threshold and not any(x.start < end and start < x.end for x in base):
+        if kind != "iban" and _AGAINST.search(text, max(0, start - REACH_AGAINST), start):
+            score -= AGAINST
+        before = bisect_left(starts, end)
+        if score >= threshold and not (before and reached[before - 1] > start):
             more.append(Span(start, KINDS.index(kind), end, score))
     return sorted(base + more)
 
@@ -176,15 +207,19 @@ def redact_udf(threshold: float = THRESHOLD):
     return redacted
 
 
-def detect_pii(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with pii: array of struct(kind, start, end, score). Null and empty texts have none; other columns stay."""
-    return docs.withColumn("pii", spans_udf(threshold)("text"))
+def detect_pii(docs: DataFrame, threshold: float = THRESHOLD, name: str = "pii") -> DataFrame:
+    """docs with a column ``name``, in place of one so named: array of struct(kind, start, end, score).
+
+    Null and empty texts have none; every row stays, repeated ones too, and so do other columns; an empty table stays so.
+    """
+    return docs.withColumn(name, spans_udf(threshold)("text"))
 
 
 def redact_pii(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with personal data in text replaced by its kind; n_chars, where there is one, counts the new text.
 
-    Every row stays. A text without personal data, null and empty texts stay as they are.
+    Every row stays, repeated ones too, and so do other columns. A text without personal data, null and empty texts
+    stay as they are; an empty table stays so.
     """
     out = docs.withColumn("text", redact_udf(threshold)("text"))
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

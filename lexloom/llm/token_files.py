@@ -8,8 +8,9 @@ reaches sequence i, ids and mask, without copying or parsing what lies before it
 only the last sequence of a shard is padded.
 
 Scale: texts are dealt out by ranges of doc_id (one shuffle of the raw texts; the ids are made after it, once), each
-task streams its range into its own file under a temporary name and then renames it, so a retried or speculative task
-leaves the same file. Files go to the folder that driver and executors share, through Arrow's file systems.
+attempt of a task streams its range into a file of its own name. The manifest, which Spark commits once per task, names
+the files that count, so retried and speculative attempts need no renaming; files that it doesn't name are leftovers.
+Files go to the folder that driver and executors share, through Arrow's file systems.
 """
 
 from __future__ import annotations
@@ -180,8 +181,8 @@ def _write_shards(out_dir: str, tokenizer: str, end_id: int, seq_len: int):
         shard = TaskContext.get().partitionId()
         fs, root = file_system(out_dir)
         fs.create_dir(root, recursive=True)
-        final, part = f"{root}/shard-{shard:06d}.arrow", f"{root}/_part-{shard:06d}-{uuid.uuid4().hex}"
-        with fs.open_output_stream(part) as sink:
+        name = f"shard-{shard:06d}-{uuid.uuid4().hex}.arrow"
+        with fs.open_output_stream(f"{root}/{name}") as sink:
             writer = SequenceWriter(sink, encode.type, seq_len)
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
@@ -190,14 +191,13 @@ def _write_shards(out_dir: str, tokenizer: str, end_id: int, seq_len: int):
                     for doc_id, x in zip(ids[start : start + 256], packed, strict=True):
                         writer.add(doc_id, np.concatenate([np.frombuffer(x, dtype=encode.type), end]))
             writer.close()
-        fs.move(part, final)
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
 
     return run
 
 
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int = 2, seq_len: int = SEQ_LEN) -> DataFrame:
-    """Writes docs(doc_id, text) below out_dir, which must be new; returns the manifest: shard, n_docs, n_tokens.
+    """Writes docs(doc_id, text) below out_dir, which must be new; returns the manifest: shard, file, n_docs, n_tokens.
 
     Documents go by ascending doc_id, null ids first, rows of one id by a hash of their text and then the text. A
     null or empty text is the end id alone. An empty table writes shards without sequences. Extra columns are ignored.
@@ -206,21 +206,21 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order, "text")
-    manifest = ranged.mapInArrow(_write_shards(out_dir, tokenizer, end_id, seq_len), "shard long, n_docs long, n_tokens long")
+    manifest = ranged.mapInArrow(_write_shards(out_dir, tokenizer, end_id, seq_len), "shard long, file string, n_docs long, n_tokens long")
     manifest.write.parquet(f"{out_dir}/manifest")
     return spark.read.parquet(f"{out_dir}/manifest")
 
 
-def open_shard(out_dir: str, shard: int) -> pa.ipc.RecordBatchFileReader:
-    """Random access to the sequences of one shard; memory-mapped where the folder is a local one."""
+def open_shard(out_dir: str, file: str) -> pa.ipc.RecordBatchFileReader:
+    """Random access to the sequences of one of the manifest's files; memory-mapped where the folder is a local one."""
     fs, root = file_system(out_dir)
-    path = f"{root}/shard-{shard:06d}.arrow"
+    path = f"{root}/{file}"
     return pa.ipc.open_file(pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path))
 
 
-def shard_documents(out_dir: str, shard: int) -> Iterator[tuple[int | None, list[np.ndarray]]]:
-    """(doc_id, pieces of its ids as uint32) of one shard in file order, batch by batch."""
-    reader = open_shard(out_dir, shard)
+def shard_documents(out_dir: str, file: str) -> Iterator[tuple[int | None, list[np.ndarray]]]:
+    """(doc_id, pieces of its ids as uint32) of one file in its order, batch by batch."""
+    reader = open_shard(out_dir, file)
     pending: list[np.ndarray] = []
     for i in range(reader.num_record_batches):
         batch = reader.get_batch(i)
@@ -240,9 +240,9 @@ def shard_documents(out_dir: str, shard: int) -> Iterator[tuple[int | None, list
 def _read_shards(out_dir: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for file, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows: list[tuple] = []
-                for doc_id, parts in shard_documents(out_dir, shard):
+                for doc_id, parts in shard_documents(out_dir, file):
                     n, crc = sum(map(len, parts)), 0
                     for x in parts:
                         crc = zlib.crc32(x, crc)
@@ -268,7 +268,7 @@ def read_token_files(spark: SparkSession, out_dir: str) -> DataFrame:
     """
     manifest = spark.read.parquet(f"{out_dir}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
+    starts = manifest.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
     dealt = starts.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return dealt.mapInArrow(_read_shards(out_dir), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -45,8 +45,24 @@ def test_checksums_and_context():
     assert kinds("born 1990-02-03") == ["birth_date"] and kinds("built 1990-02-03") == []
 
 
+def test_ibans_end_where_their_country_says():
+    for after in (" BIC COBADEFFXXX", " BIC", " EUR 12", "", ".", " 1234"):
+        for iban in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000"):
+            text = f"IBAN {iban}{after}"
+            assert [(s.kind, s.start, s.end) for s in pii.find_spans(text)] == [("iban", 5, 5 + len(iban))], text
+    assert pii.printed(pii.find_spans("NO93 8601 1117 947 GB29 NWBK 6016 1331 9268 19")) == "iban:0:18,iban:19:46"
+    assert not pii.find_spans("DE89 3704 0044 0532 0130 00X") and not pii.find_spans("ZZ89 3704 0044 0532 0130 00")
+
+
+def test_words_around_adjust_the_score():
+    kinds = lambda t: [s.kind for s in pii.find_spans(t)]
+    assert kinds("0151 2345678 (mobile)") == ["phone_local"] and kinds("0151 2345678 parts") == []
+    assert kinds("call, order no 0151 2345678") == []
+    assert kinds("mail a@b.de, born 1990-02-03 " * 2000) == ["email", "birth_date"] * 2000
+
+
 def test_long_runs_are_linear():
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + " " * 200_000, "A" * 200_000, "1 " * 100_000):
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + " " * 200_000, "A" * 200_000, "1 " * 100_000, "DE89 " * 50_000, "AB12" * 50_000, "born 1990-02-03 a@b.de " * 20_000):
         pii.find_spans(text)
 
 

@@ -32,10 +32,10 @@ def test_round_trip_equals_the_library(spark):
 
 def test_sequences_have_one_length_and_bit_masks(spark):
     out_dir = scratch_path(spark, "t")
-    token_files.write_token_files(frame(spark).coalesce(1), out_dir, PATH, seq_len=32)
+    manifest = token_files.write_token_files(frame(spark).coalesce(1), out_dir, PATH, seq_len=32)
     tokens = 0
-    for shard in range(4):
-        reader = token_files.open_shard(out_dir, shard)
+    for r in manifest.collect():
+        reader = token_files.open_shard(out_dir, r.file)
         assert reader.schema.field("input_ids").type == pa.list_(pa.uint16(), 32)
         for i in range(reader.num_record_batches):
             tokens += reader.get_batch(i).column("mask").flatten().true_count
@@ -52,6 +52,17 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert token_files.read_token_files(spark, empty).count() == 0
 
 
+def test_files_of_other_attempts_count_for_nothing(spark):
+    from pathlib import Path
+
+    out_dir = scratch_path(spark, "t")
+    token_files.write_token_files(frame(spark), out_dir, PATH)
+    root = Path(token_files.file_system(out_dir)[1])
+    for file in list(root.glob("shard-*.arrow")):
+        (root / file.name.replace(".arrow", "0.arrow")).write_bytes(file.read_bytes()[:100])
+    assert token_files.read_token_files(spark, out_dir).count() == len(rows())
+
+
 def test_word_memory_forgets_without_changing_results(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 20)
     encode = token_files.WordEncoder(PATH)
