@@ -170,20 +170,38 @@ def decode_udf(path: str, pattern: str):
     return decode
 
 
+#: Texts whose ids a worker holds at once where results are streamed.
+AT_ONCE = 500
+
+
 def _digests(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(path, pattern)
         for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                ids = use.encode(text.as_py() or "")
-                printed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
-                rows.append((len(ids), printed, hashlib.sha256(use.decode(ids)).hexdigest()))
-            n, ids_sha, decoded_sha = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for start in range(0, batch.num_rows, AT_ONCE):
+                part, rows = batch.slice(start, AT_ONCE), []
+                for text in part.column(1):
+                    ids = use.encode(text.as_py() or "")
+                    printed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+                    rows.append((len(ids), printed, hashlib.sha256(use.decode(ids)).hexdigest()))
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
+
+def _ids(path: str, pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = codec(path, pattern)
+        for batch in batches:
+            for start in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(start, AT_ONCE)
+                rows = [use.encode_array(x.as_py() or "") for x in part.column(0)]
+                sizes = np.array([len(x) for x in rows], dtype=np.int64)
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(rows), pa.int32()))
+                decoded = pa.array([hashlib.sha256(use.decode(x.tolist())).hexdigest() for x in rows], pa.string())
+                fields = [*batch.schema.names[1:], "ids", "n_tokens", "decoded_sha256"]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids, pa.array(sizes), decoded], names=fields)
 
     return run
 
@@ -204,6 +222,18 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", na
     return encoded.withColumn(name, decode_udf(path, pattern)(ids))
 
 
+def bpe_rows(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> DataFrame:
+    """The columns to keep of docs with ids (array of int), n_tokens, and the SHA-256 of the bytes that the ids decode to.
+
+    Results are streamed in small parts, so a worker holds few texts' ids. Null counts as the empty text; repeated rows
+    and null ids are harmless; an empty table gives an empty result. Columns to keep must not be named like the new ones.
+    """
+    kept = docs.select("text", *keep)
+    new = "ids array<int>, n_tokens long, decoded_sha256 string"
+    schema = T.StructType([*kept.schema.fields[1:], *T.StructType.fromDDL(new).fields])
+    return kept.mapInArrow(_ids(path, pattern), schema)
+
+
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per row of docs(doc_id, text): doc_id, n_tokens, and SHA-256 of the printed ids and of the decoded bytes.
 
