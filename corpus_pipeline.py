@@ -8,7 +8,6 @@ BPE ids, checked by decoding. All stages but the last return the columns of docu
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexloom.llm import bpe, mixing, pii, quality, similar
 from lexloom.llm._shared import table, written
@@ -41,13 +40,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids and their number for each row, with the SHA-256 of the text that the ids decode to."""
+    """doc_id, source, ids and their number for each row, with the SHA-256 of the bytes that the ids decode to."""
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.bpe_encode(docs.select("doc_id", "source", "text"), path, pattern)
-    decoded = bpe.bpe_decode(encoded.drop("text"), path, pattern)
-    return decoded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.bpe_rows(docs, path, pattern, ["doc_id", "source"])
 
 
 STAGES = [
