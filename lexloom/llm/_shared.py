@@ -33,6 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with batches that go to Python workers bounded by rows and bytes, so whole texts need little memory.
+
+    Spark reads these settings when a query runs, not when it is built, so they stay; lower ones are left alone.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = int(re.match(r"-?[0-9]+", spark.conf.get(name))[0])
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"

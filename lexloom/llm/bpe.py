@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import table
+from lexloom.llm._shared import small_batches, table
 
 #: White space as the public pattern means it (Unicode White_Space; Python's own class has four controls more).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -211,6 +211,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, name: str = "ids") -> D
 
     Null and empty texts have no ids; every row stays, repeated ones too, and so do other columns; an empty table stays so.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, encode_udf(path, pattern)("text"))
 
 
@@ -219,6 +220,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", na
 
     An id that the file lacks fails the query; null has no bytes; every row stays, and so do other columns.
     """
+    small_batches(encoded.sparkSession)
     return encoded.withColumn(name, decode_udf(path, pattern)(ids))
 
 
@@ -228,6 +230,7 @@ def bpe_rows(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> DataF
     Results are streamed in small parts, so a worker holds few texts' ids. Null counts as the empty text; repeated rows
     and null ids are harmless; an empty table gives an empty result. Columns to keep must not be named like the new ones.
     """
+    small_batches(docs.sparkSession)
     kept = docs.select("text", *keep)
     new = "ids array<int>, n_tokens long, decoded_sha256 string"
     schema = T.StructType([*kept.schema.fields[1:], *T.StructType.fromDDL(new).fields])
@@ -240,6 +243,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     Encoding and decoding run one after the other on a worker, so ids never travel. Null counts as the empty text;
     repeated rows, null ids and extra columns are harmless; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_digests(path, pattern), schema)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import table
+from lexloom.llm._shared import small_batches, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "phone_local", "birth_date", "passport")
@@ -212,6 +212,7 @@ def detect_pii(docs: DataFrame, threshold: float = THRESHOLD, name: str = "pii")
 
     Null and empty texts have none; every row stays, repeated ones too, and so do other columns; an empty table stays so.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, spans_udf(threshold)("text"))
 
 
@@ -221,6 +222,7 @@ def redact_pii(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Every row stays, repeated ones too, and so do other columns. A text without personal data, null and empty texts
     stay as they are; an empty table stays so.
     """
+    small_batches(docs.sparkSession)
     out = docs.withColumn("text", redact_udf(threshold)("text"))
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
@@ -246,6 +248,7 @@ def pii_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Null counts as the empty text. Repeated rows, null ids and extra columns are harmless.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_digest_batches(threshold), schema)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import fresh, table, written
+from lexloom.llm._shared import fresh, small_batches, table, written
 
 MAX_ROWS = 20_000
 FEATURES = 256
@@ -155,6 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", ma
 
     Conflicting labels of an id count as 1 if their mean is 0.5 or more; null labels and ids are left out.
     """
+    small_batches(docs.sparkSession)
     known = labels.filter(F.col(label).isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy("doc_id")
     known = known.agg((F.avg(label) >= 0.5).cast("double").alias("label"))
     # bounded by max_rows, so the broadcast is too
@@ -244,6 +245,7 @@ def score_quality(docs: DataFrame, model: Model | None, name: str = "score") ->
 
     Every row is scored by its text alone, so repeated rows stay and score alike; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, score_udf(model)("text"))
 
 

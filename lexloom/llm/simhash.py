@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import scratch, table, written
+from lexloom.llm._shared import scratch, small_batches, table, written
 from lexloom.llm.components import connected_components
 from lexloom.llm.shingles import shingle_hashes
 
@@ -130,6 +130,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIM
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, distinct: bool = False, text: str = "text", name: str = "fp") -> DataFrame:
     """docs with a long column ``name``: the fingerprint of ``text``. Other columns pass through untouched."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, fingerprint_udf(shingle, distinct)(F.col(text)))
 
 

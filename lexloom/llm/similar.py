@@ -17,16 +17,15 @@ task gathers more than two parts. Whole sets are made only of the texts that som
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import fresh, scratch, written
+from lexloom.llm._shared import fresh, scratch, small_batches, written
 from lexloom.llm.components import connected_components
 from lexloom.llm.shingles import shingle_hashes
 from lexloom.llm.simhash import links, majority
@@ -65,18 +64,6 @@ def minima(hashes: np.ndarray) -> list[int]:
     return out
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows here carry whole sets: what is written inside goes to the workers by fewer rows at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "1000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 _NODE = "struct<key:long,size:int,fp:long,prefix:array<long>,minima:array<long>>"
 
 
@@ -241,8 +228,7 @@ def _candidates(members: DataFrame, joined: DataFrame, similarity: float, bucket
 
 def _grouped(docs: DataFrame, similarity: float, bucket_limit: int) -> DataFrame:
     """(doc_id, key, component, component_id) of each document; ``component`` tells groups apart, with ids or without."""
-    spark = docs.sparkSession
-    with scratch(spark), _small_batches(spark):
+    with scratch(small_batches(docs.sparkSession)):
         texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
         marked = texts.select("doc_id", "tid", _node_udf(similarity, _hot(texts))("text").alias("node")).select("doc_id", "tid", "node.*")
         marked = written(marked, "similar-marked")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm._shared import table, written
+from lexloom.llm._shared import small_batches, table, written
 
 MIN_WORDS = 50
 WINDOW = 16
@@ -135,6 +135,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     other than ASCII white space, compared byte by byte. Null and empty texts have no spans; null ids and extra
     columns are harmless; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.xxhash64("text"))
     found = texts.select("rid", "text").mapInArrow(_anchor_batches(min_words), "rid long, pos int, key long")
     found = written(found, "suffix-anchors")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm._shared import scratch_path, table
+from lexloom.llm._shared import scratch_path, small_batches, table
 
 SEQ_LEN = 2048
 ROWS = 256
@@ -202,7 +202,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     Documents go by ascending doc_id, null ids first, rows of one id by a hash of their text and then the text. A
     null or empty text is the end id alone. An empty table writes shards without sequences. Extra columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order, "text")
