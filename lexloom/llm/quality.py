@@ -122,8 +122,9 @@ class Model:
     values: np.ndarray
 
     def lift(self, x: np.ndarray) -> np.ndarray:
+        """Features of rows of statistics, in steps of 2^-22, so sums of their products over MAX_ROWS rows are exact in any order."""
         z = np.cos(((x - self.mean) / self.scale).clip(-8, 8) @ self.omega + self.phase) * np.sqrt(2 / len(self.phase))
-        return np.hstack([z, np.ones((len(x), 1))])
+        return np.hstack([np.round(z * 2**22) / 2**22, np.ones((len(x), 1))])
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return self.lift(x) @ self.beta
@@ -184,7 +185,7 @@ def _moment_batches(shape: Model):
 
 
 def _solved(sums: list, d: int) -> np.ndarray:
-    """Ridge weights from partial sums, added up in the given order."""
+    """Ridge weights from partial sums."""
     gram, moment, half = np.zeros((d, d)), np.zeros(d), np.triu_indices(d)
     for r in sums:
         gram[half] += np.frombuffer(r["gram"])
@@ -214,16 +215,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     omega = rng.standard_normal((N_STATISTICS, FEATURES)) / np.sqrt(N_STATISTICS)
     shape = Model(mean, scale, omega, rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(1), np.zeros(1))
     d = FEATURES + 1
-    # rows of one partition and their order depend on ids alone, so sums are the same in every run
-    dealt = rows.repartition(SUMS, "doc_id").sortWithinPartitions("doc_id").select("fold", "label", "stats")
+    dealt = rows.select("fold", "label", "stats").repartition(SUMS)
     parts = dealt.mapInArrow(_moment_batches(shape), "fold int, n long, gram binary, moment binary").collect()  # SUMS * 4 rows
-    parts.sort(key=lambda r: (r["fold"], r["n"], r["moment"]))
     sample = rows.select("doc_id", "fold", "label", "stats").toArrow().sort_by("doc_id")  # max_rows rows
-    lifted, folds = shape.lift(_matrix(sample.column("stats").combine_chunks())), sample.column("fold").to_numpy()
+    x, folds = _matrix(sample.column("stats").combine_chunks()), sample.column("fold").to_numpy()
     raw = np.zeros(len(folds))
     for k in np.unique(folds):
         others = [r for r in parts if r["fold"] != k]
-        raw[folds == k] = lifted[folds == k] @ _solved(others, d) if others else 0.0
+        beta = _solved(others, d) if others else np.zeros(d)
+        for at in np.array_split(np.flatnonzero(folds == k), 16):
+            raw[at] = shape.lift(x[at]) @ beta
     knots, values = isotonic(raw, sample.column("label").to_numpy())
     return Model(mean, scale, omega, shape.phase, _solved(parts, d), knots, values)
 

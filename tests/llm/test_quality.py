@@ -39,6 +39,21 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert np.array_equal(fits[0].beta, fits[1].beta) and np.array_equal(fits[0].values, fits[1].values)
 
 
+def test_fits_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    docs, labels = corpus(150)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    first = quality.fit(frame(spark, docs).repartition(7), table)
+    monkeypatch.setattr(quality, "SUMS", 9)
+    second = quality.fit(frame(spark, docs[::-1]).repartition(2), table)
+    assert all(np.array_equal(getattr(first, n), getattr(second, n)) for n in ("mean", "scale", "beta", "knots", "values"))
+
+
+def test_few_labels_are_calibrated_by_other_folds(spark):
+    docs, labels = corpus(12)
+    model = quality.fit(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert list(model.values) == sorted(model.values) and all(0 <= r.score <= 1 for r in quality.score_quality(frame(spark, docs).drop("score"), model).collect())
+
+
 def test_isotonic_is_monotone_and_pools():
     x, y = quality.isotonic(np.array([3.0, 1, 2, 4]), np.array([0.0, 0, 1, 1]))
     assert list(y) == sorted(y) and np.allclose(y, [0, 0.5, 1])
