@@ -10,7 +10,7 @@ ids, sizes and the seed alone, so retried tasks, reruns and other partitionings
 
 Scale: texts are scanned once for their sizes, which are aggregated before the shuffle. The table of sources has one
 row per source and is the only thing ranked as a whole; a source has some hundred classes. No class is ranked: counts
-of hash cells, as many as keep a cell's rows few, find the cell where the drawn ones end, and only that cell is
+of hash cells, as many as the root of the class's rows, find the cell where the drawn ones end, and only that cell is
 sorted. Joins are left to the optimizer's size checks.
 """
 
@@ -25,8 +25,6 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 42
-#: Rows that a hash cell holds on average at most.
-CELL = 4096
 
 
 def _unit(text: Column, seed: int) -> Column:
@@ -95,7 +93,7 @@ def _limits(sized: DataFrame, drawn: DataFrame) -> DataFrame:
     """
     renamed = written(drawn.withColumnRenamed("source", "of").withColumnRenamed("class", "in"), "mix-drawn")
     matches = F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in"))
-    cell = F.floor(F.col("draw") * F.ceil(F.col("n") / CELL))
+    cell = F.floor(F.col("draw") * F.ceil(F.sqrt("n")))
     celled = sized.join(renamed.filter("drawn > 0"), matches).select("source", "class", "drawn", "draw", cell.alias("cell"))
     counts = celled.groupBy("source", "class", "drawn", "cell").agg(F.count("*").alias("here"))
 

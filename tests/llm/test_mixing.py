@@ -67,15 +67,13 @@ def test_plan_equals_the_slow_definition(spark):
     assert all(abs(r.target - targets[r.source]) < 1e-6 and r.copies <= 2 for r in plan)
 
 
-def test_hot_cells_and_totals_near_their_targets(spark, monkeypatch):
+def test_hot_classes_and_totals_near_their_targets(spark):
     rng = random.Random(8)
     some = [(i if i % 3 else None, "w " * int(rng.paretovariate(1.1) * 20), "en", "ab"[i % 2], 0, *[None] * 5) for i in range(1500)]
     some += [(7, "x y z", "en", "a", 0, *[None] * 5)] * 40
     want, targets, sizes = slow_copies([(r[0], r[1], words(r[1]), r[3]) for r in some])
-    for cell in (8, 4096):
-        monkeypatch.setattr(mixing, "CELL", cell)
-        got = mixing.mix_plan(frame(spark, some)).collect()
-        assert sorted((str(r.doc_id), r.size, r.copies) for r in got) == sorted((str(r[0]), words(r[1]), c) for r, c in zip(some, want))
+    got = mixing.mix_plan(frame(spark, some)).collect()
+    assert sorted((str(r.doc_id), r.size, r.copies) for r in got) == sorted((str(r[0]), words(r[1]), c) for r, c in zip(some, want))
     for s in "ab":
         assert abs(sum(r.size * r.copies for r in got if r.source == s) - targets[s]) < 0.02 * targets[s]
 
