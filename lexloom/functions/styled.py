@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from html import escape, unescape
 from html.parser import HTMLParser
 
@@ -23,6 +24,7 @@ EMPTY = frozenset(("br", "meta", "link", "img", "hr", "input"))
 HIDDEN = frozenset(("script", "style"))
 _HEAVY = re.compile(r"font-weight\s*:\s*(?:bold|[7-9]00)")
 _WORD = re.compile(r"\w+(?:['’]\w+)*|[^\w\s]")
+_PARTS = re.compile(r"\s+|\S+")
 _LINE_HYPHEN = re.compile(r"(?<=[A-Za-z])-\n(?=[a-z])")
 _PARAGRAPH = re.compile(r"\d+[A-Z]?\.\d{3,4}\s|Notes?:|Chapter\s|\d{4}\s+EDITION")
 
@@ -67,17 +69,6 @@ class _Reader(HTMLParser):
             self.pieces.append((data, self.bold > 0, self.underline > 0))
 
 
-def runs_of(styles: list[tuple[bool, bool]]) -> list[Run]:
-    """Per-character styles as runs; plain stretches have none."""
-    runs: list[Run] = []
-    for i, style in enumerate(styles):
-        if runs and runs[-1][1] == i and runs[-1][2:] == style:
-            runs[-1] = (runs[-1][0], i + 1, *style)
-        elif any(style):
-            runs.append((i, i + 1, *style))
-    return runs
-
-
 def styles_of(length: int, runs: list[Run]) -> list[tuple[bool, bool]]:
     out = [(False, False)] * length
     for start, end, bold, underline in runs:
@@ -86,29 +77,32 @@ def styles_of(length: int, runs: list[Run]) -> list[tuple[bool, bool]]:
 
 
 def normalized(pieces: list[tuple[str, bool, bool]]) -> tuple[str, list[Run]]:
-    """NFKC text without soft hyphens, white space collapsed (a line break wins), line-end hyphens joined."""
-    chars: list[str] = []
-    styles: list[tuple[bool, bool]] = []
+    """NFKC text without soft hyphens, white space collapsed (a line break wins), line-end hyphens joined.
+
+    Pieces are cut into words and gaps, gaps that meet become one, and runs follow from the parts' lengths; what the
+    joined hyphens take away is then taken from the runs' offsets.
+    """
+    parts: list[tuple[str, tuple[bool, bool]]] = []
     for text, bold, underline in pieces:
-        for c in unicodedata.normalize("NFKC", text):
-            if c == "­":
-                continue
-            if not c.isspace():
-                chars.append(c)
-                styles.append((bold, underline))
-            elif chars and chars[-1] in " \n":
-                chars[-1] = "\n" if c == "\n" else chars[-1]
-            else:
-                chars.append("\n" if c == "\n" else " ")
-                styles.append((bold, underline))
-    text = "".join(chars)
-    kept: list[int] = []
+        for part in _PARTS.findall(unicodedata.normalize("NFKC", text).replace("\xad", "")):
+            here = part, (bold, underline)
+            if part.isspace():
+                here = "\n" if "\n" in part else " ", (bold, underline)
+                if parts and parts[-1][0] in ("\n", " "):
+                    last = parts.pop()
+                    here = max(here[0], last[0], key=" \n".index), last[1]
+            parts.append(here)
+    text = "".join(part for part, _ in parts)
+    gone = [i for m in _LINE_HYPHEN.finditer(text) for i in range(*m.span())]
+    runs: list[Run] = []
     at = 0
-    for m in _LINE_HYPHEN.finditer(text):
-        kept += range(at, m.start())
-        at = m.end()
-    kept += range(at, len(text))
-    return "".join(text[i] for i in kept), runs_of([styles[i] for i in kept])
+    for part, style in parts:
+        start, at = at, at + len(part)
+        begin, end = (x - bisect_left(gone, x) for x in (start, at))
+        if any(style) and end > begin:
+            joined = runs and runs[-1][1] == begin and runs[-1][2:] == style
+            runs.append((runs.pop()[0] if joined else begin, end, *style))
+    return _LINE_HYPHEN.sub("", text), runs
 
 
 def read_html(markup: str) -> tuple[str, list[Run]]:

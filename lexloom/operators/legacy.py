@@ -122,16 +122,21 @@ def _operative(block: Column, start: str, clause: Column) -> Column:
     return F.when(direct, _evidence(_numbers(before), action, "body", clause, F.concat(before, marker))).otherwise(none)
 
 
+def _behind(parts: Column) -> Column:
+    """All parts but the first."""
+    return F.slice(parts, 2, F.size(parts))
+
+
 def body_evidence(text: Column) -> Column:
     """Sections that operative clauses and their numbered parts act on directly (H9)."""
 
     def of(block: Column) -> Column:
         clause = F.nullif(F.regexp_extract(block, "^[0-9]+[A-Za-z]?", 0), F.lit(""))
-        parts = F.slice(F.split(block, "\\) ORS "), 2, 10_000)
+        parts = _behind(F.split(block, "\\) ORS "))
         inner = F.flatten(F.transform(parts, lambda p: _operative(F.concat(F.lit("ORS "), p), "^", clause)))
         return F.array_distinct(F.concat(_operative(block, _CLAUSE_START, clause), inner))
 
-    return F.flatten(F.transform(F.slice(F.split(text, "SECTION "), 2, 10_000), of))
+    return F.flatten(F.transform(_behind(F.split(text, "SECTION ")), of))
 
 
 def change_set(evidence: Column) -> Column:

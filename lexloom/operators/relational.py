@@ -6,6 +6,7 @@ optimizer's own size checks.
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -80,16 +81,31 @@ def violations(rules: list[tuple[str, DataFrame, Column]]) -> DataFrame:
 
 
 def chain_depths(edges: DataFrame, node: str, parent: str, spark) -> DataFrame:
-    """(node, root, depth) of a forest of predecessor edges by a recursive query; nodes of cycles don't appear."""
-    edges.createOrReplaceTempView("_lexloom_edges")
-    return spark.sql(f"""
-        WITH RECURSIVE chain(node, root, depth) AS (
-          SELECT {node}, {node}, 0 FROM _lexloom_edges WHERE {parent} IS NULL
-          UNION ALL
-          SELECT e.{node}, c.root, c.depth + 1 FROM _lexloom_edges e JOIN chain c ON e.{parent} = c.node
-        )
-        SELECT node, root, depth FROM chain
-    """)
+    """(node, root, depth) of a forest of predecessor edges; nodes of cycles and with a missing predecessor don't appear.
+
+    By doubling: each round every pointer leaps to where the node it points at points, so a chain of n steps takes
+    log2(n) rounds. A chain has nodes of every depth, so a round that closes no pointer has only cycles left.
+    """
+    root = F.col(parent).isNull()
+    jumps = edges.select(F.col(node).alias("node"), F.col(parent).alias("at"), F.when(root, 0).otherwise(1).alias("depth"), F.when(root, F.col(node)).alias("last"))
+    left, before = None, None
+    while left is None or left and left != before:
+        # lineage ends with every round
+        jumps, before = _cut(jumps, spark), left
+        left = jumps.filter("at is not null").count()
+        ahead = jumps.select(F.col("node").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"), F.col("last").alias("end"))
+        leapt = jumps.filter("at is not null").join(ahead, "at").select("node", F.col("next").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("last"))
+        jumps = jumps.filter("at is null").unionByName(leapt)
+    return jumps.filter("at is null").select("node", F.col("last").alias("root"), "depth")
+
+
+def _cut(df: DataFrame, spark) -> DataFrame:
+    """df without its lineage, by a checkpoint in the folder that the session names; a local session gets a folder of its own."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexloom-"))
+    return df.checkpoint()
 
 
 def linear_history(df: DataFrame, keys: list[str], order: list[str], step: str) -> DataFrame:

@@ -29,13 +29,14 @@ def search_sections(t: Tables, query: str, edition: int | None = None, chapter:
     Order: rank, newest edition, section, version. One row more than the limit tells of a next page.
     """
     rows = t("section_versions")
-    if edition is not None:
-        rows = rows.filter(F.col("edition_year") == edition)
-    rows = rows.join(t("chapter_sections"), ["edition_year", "ors_section"], "left") if chapter is not None else rows
-    rows = rows.filter(F.col("chapter_number") == chapter) if chapter is not None else rows
     spark = rows.sparkSession
     exact = spark.range(1).select(keys.citation(F.lit(query)).alias("c")).first()["c"]
+    # scores are those of the whole table, whatever is shown of it
     found = rows.filter(F.col("ors_section") == exact).withColumn("score", F.lit(0.0)) if exact else search.bm25(rows, {"catchline": 5.0, "content_text": 1.0}, query)
+    if edition is not None:
+        found = found.filter(F.col("edition_year") == edition)
+    if chapter is not None:
+        found = found.join(t("chapter_sections").filter(F.col("chapter_number") == chapter), ["edition_year", "ors_section"], "left_semi")
     shown = found.select(
         keys.public_id(F.col("edition_year"), F.col("ors_section"), F.col("version_ordinal")).alias("id"), "edition_year", "ors_section", "version_ordinal", "catchline",
         excerpt(F.col("content_text"), 400).alias("excerpt"), "score",

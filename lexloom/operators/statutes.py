@@ -89,22 +89,35 @@ def resolved(refs: DataFrame, sections: DataFrame) -> DataFrame:
     return cited.join(sections, "number", "left")
 
 
+#: What joins a defined term to its wording, longest first (fixed values); all but the first stay in the wording.
+_VERBS = ("means", "does not include", "does not mean", "includes", "has", "is")
+_QUOTES = "[“”\"']"
+
+
 def definitions(df: DataFrame, text: str, citation: str) -> DataFrame:
     """(citation, defined_term, definition_text) of texts that open a definitions block.
 
-    Entries are cut at their numbers first; each then yields its terms, verb and wording by small patterns.
+    Entries are cut at their numbers; an entry is cut at its quotes, which leaves its term, an alias where only "or" stands
+    between two terms, and the wording behind them, which is cut at its first verb or colon.
     """
     t = F.col(text)
-    scope = t.rlike("(?i)As used in[^\\n:]{0,200}:") | t.rlike("(?i)^\\s*Definitions\\b")
-    quote, entry = "[“\"']", "\\(\\s*\\d+\\s*\\)(?:\\([a-z]\\))?\\s*[“\"']"
-    parts = F.filter(F.split(t, f"\\n?\\s*(?={entry})"), lambda p: p.rlike(f"^{entry}"))
-    head = f"(?is)^\\(\\s*\\d+\\s*\\)(?:\\([a-z]\\))?\\s*{quote}([^”\"']{{1,160}})[”\"'](?:\\s*or\\s*{quote}([^”\"']{{1,160}})[”\"'])?[^“”\"'\\n]{{0,150}}?(?:(does\\s+not\\s+mean|does\\s+not\\s+include|means|includes|has|is)[,:\\s]+|:\\s*)(.*)$"
-    entries = df.filter(scope).select(F.col(citation).alias("citation"), F.posexplode(parts).alias("entry", "p")).filter(F.col("p").rlike(head))
-    squeezed = lambda i: F.trim(F.regexp_replace(F.regexp_extract("p", head, i), "(?U)\\s+", " "))
-    verb, body = F.lower(squeezed(3)), F.regexp_replace(squeezed(4), "\\.+$", "")
-    wording = F.concat(F.when(verb.isin("includes", "has", "is", "does not mean", "does not include"), F.concat(verb, F.lit(" "))).otherwise(F.lit("")), body, F.lit("."))
-    both = entries.select("citation", "entry", F.posexplode(F.array(squeezed(1), squeezed(2))).alias("alias", "defined_term"), wording.alias("definition_text"))
-    return both.filter("defined_term <> '' and replace(definition_text, '.', '') <> ''").select("citation", "defined_term", "definition_text")
+    opens = t.rlike("(?i)As used in[^\\n:]{0,200}:") | F.lower(F.ltrim(t)).startswith("definitions")
+    numbered = f"\\(\\s*\\d+\\s*\\)(\\([a-z]\\))?\\s*{_QUOTES}"
+    entries = df.filter(opens).select(F.col(citation).alias("citation"), F.posexplode(F.split(t, f"(?={numbered})")).alias("entry", "p")).filter(F.col("p").rlike(f"^{numbered}"))
+    cut = lambda c: F.split(c, _QUOTES, 3)
+    once = entries.withColumn("one", cut(F.col("p"))).withColumn("two", cut(F.get("one", F.lit(2))))
+    alias = (F.lower(F.trim(F.get("two", F.lit(0)))) == "or") & (F.size("two") == 3)
+    tail = F.when(alias, F.get("two", F.lit(2))).otherwise(F.get("one", F.lit(2)))
+    either = "|".join(v.replace(" ", "\\s+") for v in _VERBS)
+    joint = f"^[^“”\"'\\n]{{0,150}}?(?:\\b({either})[,:\\s]+|:\\s*)"
+    squeezed = lambda c: F.trim(F.regexp_replace(c, "(?U)\\s+", " "))
+    read = once.select("citation", "entry", F.array(F.get("one", F.lit(1)), F.when(alias, F.get("two", F.lit(1)))).alias("terms"), tail.alias("tail")).filter(F.col("tail").rlike(f"(?i){joint}"))
+    verb = F.lower(squeezed(F.regexp_extract("tail", f"(?i){joint}", 1)))
+    body = F.regexp_replace(squeezed(F.regexp_replace("tail", f"(?i){joint}", "")), "\\.+$", "")
+    wording = F.concat(F.when(verb.isin("", _VERBS[0]), F.lit("")).otherwise(F.concat(verb, F.lit(" "))), body, F.lit("."))
+    both = read.select("citation", "entry", F.posexplode("terms").alias("alias", "term"), wording.alias("definition_text"), body.alias("body"))
+    named = both.withColumn("defined_term", squeezed(F.col("term"))).filter("defined_term <> '' and length(term) <= 160 and body <> ''")
+    return named.select("citation", "defined_term", "definition_text")
 
 
 def stub_kind(text: Column) -> Column:
@@ -134,18 +147,38 @@ def is_subdivision_heading(line: Column) -> Column:
     return (F.length(letters) >= 3) & (F.upper(line) == line) & ~line.rlike(f"^\\s*{NUMBER}")
 
 
+#: Mentions of a repeal that repeal nothing: how the text opens, and what it also says (fixed values).
+_INCIDENTAL = (
+    ("Notwithstanding the transfer of duties, functions and powers", ("continue in effect until superseded or repealed by rules",)),
+    ("If any provision of section", ("does not affect the validity of any action",)),
+    ("(1) On or before", ("shall report to the Governor", "if section", "are not repealed on")),
+)
+
+
 def triage(reason: Column, text: Column) -> Column:
-    """Struct category and disposition of a diagnostic; the first rule that fits decides."""
+    """Struct category and disposition of a diagnostic (E31): the first category whose test holds.
+
+    An order is what stands before "amended to read:", without a leading condition or number. Its first words tell a
+    provision of a session law: "Section 3 ..." without sections of the code, or a heading and then such a section.
+    """
     t = F.trim(F.regexp_replace(text, "(?U)\\s+", " "))
-    order = F.get(F.split(t, "amended to read:", 2), F.lit(0))
-    order = F.regexp_replace(F.regexp_replace(order, "^If (?:House|Senate) Bill \\d+ becomes law,\\s*", ""), "^(?:Repeals\\.\\s*)?\\(\\d+\\)\\s*", "")
-    incidental = (
-        (t.rlike("^Notwithstanding the transfer of duties, functions and powers\\b") & t.rlike("continue in effect until superseded or repealed by rules\\b"))
-        | (t.rlike("^If any provision of sections?\\b") & F.contains(t, F.lit("does not affect the validity of any action")))
-        | (t.rlike("^\\(1\\) On or before\\b") & F.contains(t, F.lit("shall report to the Governor")) & t.rlike("if sections? .+ are not repealed on\\b"))
-    )
-    act = (order.rlike("(?i)^Sections?\\s+\\d") & ~order.rlike("\\band ORS\\s+\\d")) | order.rlike("^.+?\\. Section \\d[^.]*, chapter \\d+, Oregon Laws \\d{4}")
-    category = F.when(reason == "existing ORS series membership", "series_membership").when(incidental, "incidental_repeal_reference").when(act, "session_law_provision").otherwise("unresolved")
+    incidental = F.lit(False)
+    for opening, phrases in _INCIDENTAL:
+        holds = t.startswith(opening)
+        for phrase in phrases:
+            holds &= F.contains(t, F.lit(phrase))
+        incidental |= holds
+    order = F.split_part(t, F.lit("amended to read:"), F.lit(1))
+    guarded = order.startswith("If House Bill ") | order.startswith("If Senate Bill ")
+    order = F.ltrim(F.when(guarded & F.contains(order, F.lit(" becomes law,")), F.substring(order, F.locate(" becomes law,", order) + 13, F.length(order))).otherwise(order))
+    order = F.regexp_replace(order, "^(Repeals\\. ?)?(\\([0-9]+\\) ?)?", "")
+    words = F.split(order, " ")
+    numbered = lambda c: F.substring(c, 1, 1).between("0", "9")
+    code_too = F.exists(F.slice(F.split(order, "and ORS "), 2, F.greatest(F.size(F.split(order, "and ORS ")) - 1, F.lit(1))), numbered)
+    direct = F.lower(F.get(words, F.lit(0))).isin("section", "sections") & numbered(F.get(words, F.lit(1))) & ~code_too
+    headed = F.split_part(F.substring(order, F.locate(". Section ", order) + 10, F.length(order)), F.lit("."), F.lit(1))
+    of_act = (F.locate(". Section ", order) > 1) & numbered(headed) & headed.like("%, chapter _%, Oregon Laws %")
+    category = F.when(reason == "existing ORS series membership", "series_membership").when(incidental, "incidental_repeal_reference").when(direct | of_act, "session_law_provision").otherwise("unresolved")
     return F.struct(category.alias("category"), F.when(category == "unresolved", "review_required").otherwise("expected_scope").alias("disposition"))
 
 

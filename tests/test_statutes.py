@@ -22,6 +22,7 @@ CREDITS = [
     ("[2009 c.431 §6 and 2009 c.816 §15]", [("unspecified", 2009, None, 431, "6"), ("unspecified", 2009, None, 816, "15")]),
     ("[repealed by 1979 c.43 §1 and by 1979 c.190 §431]", [("repealed", 1979, None, 43, "1"), ("repealed", 1979, None, 190, "431")]),
     ("[amendments by 2002 s.s.1 c.11 §1 repealed by 2002 s.s.2 c.1 §3]", [("amended", 2002, 1, 11, "1"), ("repealed", 2002, 2, 1, "3")]),
+    ("[subsection (3) enacted as 1999 c.5 s.4 (1)]", [("enacted", 1999, None, 5, "4")]),
     ("[1983 cor. c.736 §1; Derived from 1961 c.2]", [("unspecified", 1983, None, 736, "1"), ("enacted", 1961, None, 2, None)]),
 ]
 
@@ -69,6 +70,21 @@ def test_members_conditions_and_identity():
     assert special.who.special_session == 2 and not {a["id"] for a in regular.actions} & {a["id"] for a in special.actions}
 
 
+def test_phrases_and_more_acts():
+    from lexloom.functions.phrases import match, tokens_of
+
+    words = tokens_of("ORS 5.010, as changed, is amended\nto read: x")
+    found = match("ORS {section} , ... is amended to read :", words)
+    assert [words[a].text for a, _ in found.parts] == ["5.010", "as"] and words[found.end - 1].text == ":"
+    assert match("ORS {section} is amended", words) is None and match("... never", words) is None
+    noted = acts.read_act(ACT.replace("SECTION 2. ORS 161.015 and 161.025 are repealed.", "SECTION 2. (1) ORS 161.015 is repealed. (2) More.").replace("SECTION 5. ORS 161.035 is repealed.", "SECTION 5. ORS 161.035 is created."))
+    assert [d["reason"] for d in noted.diagnostics][0] == "remaining numbered provisions" and noted.diagnostics[0]["text"] == "(2) More."
+    assert ("ADD", "161.035") in {(a["action_type"], a["affected_section"]) for a in noted.actions}
+    for broken in (ACT.replace("2023 Chap. 12", "2023 (special session) Chap. 12"), ACT.replace("SECTION 2.", "SECTION 1."), ACT.replace("HB 2001", "none"), ACT.replace("LAWS 2023", "LAWS")):
+        with pytest.raises(acts.ActError):
+            acts.read_act(broken)
+
+
 def test_markup_and_tokens(spark):
     got = row(spark, "<p><b>A</b> co-<br>operate ﬁ</p><script>x</script><p style='font-weight: 700'>pre<u>mid</u></p>", s=styled.html_styled(F.col("t"))).s
     assert got.text == "\nA cooperate fi\npremid\n"

@@ -31,3 +31,11 @@ def test_equals_sql(spark, duck, name):
     columns = sorted(got.columns)
     want = duck.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLES[name]}) AS oracle").fetchall()
     assert plain(tuple(r) for r in got.select(*columns).collect()) == plain(want)
+
+
+def test_long_chains_and_cycles(spark):
+    from lexloom.operators import relational
+
+    chain = [(i, i - 1 if i else None) for i in range(5000)] + [(9001, 9002), (9002, 9003), (9003, 9001), (8000, 7999), (7000, None)]
+    got = {r.node: (r.root, r.depth) for r in relational.chain_depths(spark.createDataFrame(chain, "n long, p long"), "n", "p", spark).collect()}
+    assert got == {i: (0, i) for i in range(5000)} | {7000: (7000, 0)}
