@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm._shared import scratch_path, small_batches, table
+from lexloom.llm._shared import scratch_path, table
 
 SEQ_LEN = 2048
 ROWS = 256
@@ -69,7 +69,7 @@ class WordEncoder:
         if len(self.known) > REMEMBERED // 2:
             self.known, self.older, self.seen = {}, self.known, bytearray(SLOTS)
         known, older, seen = self.known, self.older, self.seen
-        missing = list(set().union(*split) - known.keys())
+        missing = list(set().union(*split).difference(known))
         known.update((w, older[w]) for w in missing if w in older)
         new = [w for w in missing if w not in known]
         known.update(zip(new, self._word_ids(new), strict=True))
@@ -186,9 +186,9 @@ def _write_shards(out_dir: str, tokenizer: str, end_id: int, seq_len: int):
             writer = SequenceWriter(sink, encode.type, seq_len)
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-                for start in range(0, len(ids), 256):
-                    packed = encode.encode([x or b"" for x in texts[start : start + 256].to_pylist()])
-                    for doc_id, x in zip(ids[start : start + 256], packed, strict=True):
+                for start in range(0, len(ids), 1024):
+                    packed = encode.encode([x or b"" for x in texts[start : start + 1024].to_pylist()])
+                    for doc_id, x in zip(ids[start : start + 1024], packed, strict=True):
                         writer.add(doc_id, np.concatenate([np.frombuffer(x, dtype=encode.type), end]))
             writer.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
@@ -202,7 +202,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     Documents go by ascending doc_id, null ids first, rows of one id by a hash of their text and then the text. A
     null or empty text is the end id alone. An empty table writes shards without sequences. Extra columns are ignored.
     """
-    spark = small_batches(docs.sparkSession)
+    spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order, "text")
