@@ -25,14 +25,15 @@ def span_end(df: DataFrame, keys: list[str], order: list[str], closes: Column, a
     return df.withColumn(name, F.first(F.when(closes, F.col(at)), ignorenulls=True).over(after))
 
 
-def range_lookup(df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, rank: str, take: list[str], key: list[str]) -> DataFrame:
+def range_lookup(df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, rank: str, take: list[str]) -> DataFrame:
     """df with the columns ``take`` of the first range, by ``rank``, whose bounds enclose ``value``; null if none.
 
-    ranges is a declared list (a roster); the planner broadcasts it while its size allows.
+    ranges is a declared list (a roster). Each distinct value meets it once; the rows then join by the value itself.
     """
-    joined = df.join(ranges, (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high)), "left")
-    first = joined.groupBy(*key).agg(F.min_by(F.struct(*take), rank).alias("_first"))
-    return df.join(first, key, "left").select(*df.columns, *[F.col(f"_first.{c}").alias(c) for c in take])
+    values = df.select(value).distinct()
+    hits = values.join(ranges, (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high)))
+    first = hits.groupBy(value).agg(F.min_by(F.struct(*take), rank).alias("_first"))
+    return df.join(first, value, "left").select(*df.columns, *[F.col(f"_first.{c}").alias(c) for c in take])
 
 
 def edition_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -91,7 +92,7 @@ def chain_depths(edges: DataFrame, node: str, parent: str, spark) -> DataFrame:
     left, before = None, None
     while left is None or left and left != before:
         # lineage ends with every round
-        jumps, before = _cut(jumps, spark), left
+        jumps, before = without_lineage(jumps), left
         left = jumps.filter("at is not null").count()
         ahead = jumps.select(F.col("node").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"), F.col("last").alias("end"))
         leapt = jumps.filter("at is not null").join(ahead, "at").select("node", F.col("next").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("last"))
@@ -99,12 +100,20 @@ def chain_depths(edges: DataFrame, node: str, parent: str, spark) -> DataFrame:
     return jumps.filter("at is null").select("node", F.col("last").alias("root"), "depth")
 
 
-def _cut(df: DataFrame, spark) -> DataFrame:
-    """df without its lineage, by a checkpoint in the folder that the session names; a local session gets a folder of its own."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+def shared_folder(spark) -> str:
+    """The folder that the session names for what outlives a job; a local session without one gets a folder of its machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexloom-"))
+        folder = tempfile.mkdtemp(prefix="lexloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def without_lineage(df: DataFrame) -> DataFrame:
+    """df from a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

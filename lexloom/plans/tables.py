@@ -46,7 +46,7 @@ _FOLD = f"translate(lower({{}}), '{text.ACCENTED}', '{text.PLAIN}')"
 _TOKENS = "regexp_extract_all(" + _FOLD + ", '[\\p{{L}}\\p{{N}}]+')"
 
 
-def _bm25_sql(terms: list[str], tail: str) -> str:
+def _bm25_sql(terms: list[str], tail: str, keep: str = "doc_id, lang, source", rounded: bool = True) -> str:
     tf = [f"5.0 * len(list_filter(tc, lambda x: x = '{w}')) + 1.0 * len(list_filter(tb, lambda x: x = '{w}'))" for w in terms]
     columns = ", ".join(f"({x})::DOUBLE AS tf{i}" for i, x in enumerate(tf))
     df = ", ".join(f"count(*) FILTER (WHERE tf{i} > 0) AS df{i}" for i in range(len(terms)))
@@ -54,11 +54,11 @@ def _bm25_sql(terms: list[str], tail: str) -> str:
         f"(CASE WHEN ln((n - df{i} + 0.5) / (df{i} + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df{i} + 0.5) / (df{i} + 0.5)) END) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))"
         for i in range(len(terms))
     )
-    every = " AND ".join(f"tf{i} > 0" for i in range(len(terms)))
+    every, score = " AND ".join(f"tf{i} > 0" for i in range(len(terms))), f"round(-({part}), 6)" if rounded else f"-({part})"
     return f"""WITH s AS ({_SECTIONS}), tok AS (SELECT *, {_TOKENS.format('catchline')} AS tc, {_TOKENS.format('content')} AS tb FROM s),
-    c AS (SELECT doc_id, lang, source, (len(tc) + len(tb))::DOUBLE AS dl, {columns} FROM tok),
+    c AS (SELECT {keep}, (len(tc) + len(tb))::DOUBLE AS dl, {columns} FROM tok),
     st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS avgdl, {df} FROM c),
-    r AS (SELECT doc_id, lang, source, round(-({part}), 6) AS score FROM c, st WHERE {every}) {tail}"""
+    r AS (SELECT {keep}, {score} AS score FROM c, st WHERE {every}) {tail}"""
 
 
 @query(_bm25_sql(["with", "from"], "SELECT doc_id, lang, source, score FROM r ORDER BY score, doc_id LIMIT 21"))
@@ -86,8 +86,8 @@ def and_search_union(t, spark):
 SELECT word, substr(word, 1, 2) AS shard, count(*) AS df, min(doc_id) AS first_id, max(doc_id) AS last_id FROM w GROUP BY word""")
 def inverted_index_stats(t, spark):
     """A4 K6: the inverted index's words with shard, document frequency and the ends of their lists."""
-    index = search.postings(t("documents"), "doc_id", ["text"]).groupBy("word").agg(F.count("*").alias("df"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    return index.select("word", F.substring("word", 1, 2).alias("shard"), "df", "first_id", "last_id")
+    index = search.inverted_index(t("documents"), "doc_id", ["text"], block=128)
+    return index.groupBy("word", "shard").agg(F.sum("n").alias("df"), F.min(F.col("ids")[0]).alias("first_id"), F.max(F.element_at("ids", -1)).alias("last_id"))
 
 
 @query("""WITH l AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) AS r1 FROM documents WHERE contains(lower(text), 'license')),
@@ -168,7 +168,7 @@ SELECT p_partkey, p_size, arg_min(title, ord) AS title FROM part LEFT JOIN r ON
 def range_title_lookup(t, spark):
     """The first range of a roster that covers a number; uncovered ones stay null."""
     ranges = spark.createDataFrame(_RANGES, "ord int, lo int, hi int, title string")
-    return relational.range_lookup(t("part").select("p_partkey", "p_size"), "p_size", ranges, "lo", "hi", "ord", ["title"], ["p_partkey"])
+    return relational.range_lookup(t("part").select("p_partkey", "p_size"), "p_size", ranges, "lo", "hi", "ord", ["title"])
 
 
 @query("""WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) % 2 ORDER BY o_orderdate, o_orderkey) AS rn FROM orders),

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexloom.functions import styled, text
@@ -26,24 +27,58 @@ def test_sections_versions_and_stubs(spark):
 
 def test_service(spark):
     d = {
+        "editions": ([(2023,)], "edition_year int"), "chapters": ([("90",)], "chapter_number string"), "diagnostics": ([("d",)], "id string"),
+        "diagnostic_reviews": ([("expected_scope",), ("expected_scope",)], "disposition string"), "build_metadata": ([("manifest", "m"), ("built", "now")], "key string, value string"),
+        "sections": ([(2023, "90.100", "90"), (2023, "90.110", "90")], "edition_year int, ors_section string, chapter_number string"),
+        "chapter_sources": ([(2023, "90", "u")], "edition_year int, chapter_number string, source_url string"), "sources": ([("u", "h")], "source_url string, sha256 string"),
         "section_versions": ([(2023, "90.100", 0, "Definitions", "tenant rules", "active"), (2023, "90.110", 0, "Definitions", "tenant duties", "active"), (2023, "90.100", 1, "Definitions", "unicorn", "active")], "edition_year int, ors_section string, version_ordinal int, catchline string, content_text string, status string"),
-        "section_notes": ([(2023, "90.100", "editorial", "Note: x")], "edition_year int, ors_section string, note_kind string, note_text string"),
-        "amendments": ([("a1", "HB 1", 2023, "90.100", "AMEND", "x" * 600)], "id string, bill_number string, session_year int, affected_ors_section string, action_type string, raw_diff_text string"),
-        "amendment_sources": ([("a1", "u")], "amendment_id string, source_url string"),
-        "pending_changes": ([("p1", "90.100", "HB 2", None, "n"), ("p2", "90.100", "HB 3", "2024-01-01", "n")], "id string, target_section string, enacting_measure string, effective_date string, note_text string"),
-        "pending_change_sources": ([("p1", "u")], "pending_change_id string, source_url string"),
-    }
+        "section_notes": ([(2023, "90.100", 2, "Note: y"), (2023, "90.100", 1, "Note: x")], "edition_year int, ors_section string, id int, note_text string"),
+        "amendments": ([("a1", "HB 1", 2023, "90.100", "AMEND", "x" * 600), ("a2", "HB 2", 2021, "90.100", "AMEND", None)], "id string, bill_number string, session_year int, affected_ors_section string, action_type string, raw_diff_text string"),
+        "amendment_sources": ([("a1", "u")], "amendment_id string, source_url string"), "amendment_context": ([("a1", "if", "all")], "amendment_id string, condition_text string, operative_text string"),
+        "pending_changes": ([("p2", "90.100", "HB 3", "2024-01-01", "n"), ("p1", "90.100", "HB 2", None, "n")], "id string, target_section string, enacting_measure string, effective_date string, note_text string"),
+        "pending_change_sources": ([("p1", 2023, "u")], "pending_change_id string, edition_year int, source_url string"),
+    }
     t = lambda name: spark.createDataFrame(*d[name])
-    assert len(service.search_sections(t, "tenant", limit=1).collect()) == 2
+    first = service.search_sections(t, "tenant", limit=1)
+    assert len(first.collect()) == 2 and (first.first().excerpt, first.first().source_url) == ("[tenant] rules", "u")
+    one = search.envelope(first, 1).first()
+    assert (len(one["items"]), one["items"][0].id, one.next_offset) == (1, "ors:2023:90.100:v0", 1) and search.envelope(service.search_sections(t, "unicorn"), 10).first().next_offset is None
     assert [r.id for r in service.search_sections(t, "unicorn").collect()] == ["ors:2023:90.100:v1"]
     assert [r.version_ordinal for r in service.search_sections(t, "ors 90.100").collect()] == [0, 1]
+    # a filter hides rows and changes no rank
+    assert {r.rank for r in service.search_sections(t, "rules").collect()} == {r.rank for r in service.search_sections(t, "rules", chapter=" 90").collect()}
     assert service.search_sections(t, "tenant unicorn").count() == 0 and service.search_sections(t, "tenant", edition=1999).count() == 0
-    one = service.get_section(t, "90.100", 2023).first()
-    assert len(one.section_versions) == 2 and one.section_notes[0].note_text == "Note: x"
-    a = service.get_amendments(t, "90.100").first()
-    assert a.text_truncated and len(a.raw_diff_text) == 500 and a.source_url == "u"
-    assert [r.id for r in service.get_pending_changes(t, "90.100").collect()] == ["p1", "p2"]
-    assert {r.table_name: r.n for r in service.dataset_info(t, list(d)).collect()}["section_versions"] == 3
+    for wrong in ({"query": " "}, {"query": "x" * 301}, {"query": "?!"}, {"query": "x", "chapter": "0"}, {"query": "x", "limit": 0}, {"query": "x", "offset": -1}):
+        with pytest.raises(ValueError):
+            service.search_sections(t, **wrong)
+    one = service.get_section(t, "ors 90.100", 2023).first()
+    assert len(one.versions) == 2 and [n.note_text for n in one.notes] == ["Note: x", "Note: y"] and one.sources[0].sha256 == "h" and one.section.chapter_number == "90"
+    assert service.get_section(t, "90.110", 2023).first().notes == []
+    with pytest.raises(LookupError):
+        service.get_section(t, "90.100", 1999)
+    with pytest.raises(ValueError):
+        service.get_amendments(t, "tenant")
+    b, a = service.get_amendments(t, "90.100").collect()
+    assert (b.id, a.text_truncated, len(a.raw_diff_text), a.source_url, a.condition_text, a.operative_text) == ("a2", True, 500, "u", "if", None)
+    whole = service.get_amendments(t, "90.100", session_year=2023, include_text=True).collect()
+    assert [(r.text_truncated, len(r.raw_diff_text), r.operative_text) for r in whole] == [(False, 600, "all")]
+    assert [r.id for r in service.get_pending_changes(t, "90.100").collect()] == ["p1", "p2"] and service.get_pending_changes(t, "90.100", edition=2023).count() == 1
+    info = {(r.part, r.name): r.value for r in service.dataset_info(t).collect()}
+    assert info["count", "section_versions"] == "3" and info["review", "expected_scope"] == "2" and len(info["build", "manifest_sha256"]) == 64 and ("session_year", "2021") in info
+
+
+def test_indexes_and_positions(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "head" if i % 3 else "rare", "common " * (1 + i % 4) + ("rare" if i % 5 == 0 else "")) for i in range(300)] + [(300, None, "")], "id long, a string, b string")
+    search.write_ranked_index(docs, "id", ["a", "b"], f"{tmp_path}/index")
+    for words in ("common rare", "rare", "absent common", ""):
+        want = {r.id: round(r.score, 9) for r in search.bm25(docs, {"a": 5.0, "b": 1.0}, words).collect()}
+        assert {r.key: round(r.score, 9) for r in search.ranked(spark, f"{tmp_path}/index", {"a": 5.0, "b": 1.0}, words).collect()} == want
+    index = search.inverted_index(docs, "id", ["a", "b"], block=16)
+    assert index.agg(F.max("n")).first()[0] < 60
+    assert {r.id for r in search.and_search_index(index, "Rare common").collect()} == {r.id for r in search.and_search(docs, "id", ["a", "b"], "Rare common").collect()}
+    assert search.and_search_index(index, "").count() == 0
+    found = search.positions(docs, [F.col("b").desc(), "id"]).orderBy("position").collect()
+    assert [r.position for r in found] == list(range(1, 302)) and [r.id for r in found] == [r.id for r in docs.orderBy(F.col("b").desc(), "id").collect()]
 
 
 def test_terms(spark):
