@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.plans import fixtures, service, tables  # noqa: F401 (service registers with tables)
+from lexloom.plans import evidence, fixtures, service, tables  # noqa: F401 (both register with tables)
 
 QUERIES = tables.QUERIES | fixtures.QUERIES
 ORACLES = tables.ORACLES | fixtures.ORACLES
