@@ -11,7 +11,7 @@ from lexloom.sources import files
 
 _PENDING = "SELECT year(o_orderdate) AS session_year, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS session_law_chapter FROM orders"
 _RESULTS = "SELECT year(o_orderdate) AS session_year, o_orderkey AS session_law_chapter, CASE WHEN o_orderstatus = 'F' THEN 'parser-error' ELSE 'parsed' END AS status FROM orders WHERE o_orderkey % 7 <> 0"
-_STATES = f"""SELECT p.session_year, p.session_law_chapter, CASE WHEN p.session_law_chapter IS NULL THEN 'non-specific-notice' WHEN r.status IS NULL THEN 'missing-session-result' WHEN r.status = 'parsed' THEN 'matched-parsed' ELSE 'matched-parser-error' END AS reconciliation_status
+_STATES = f"""SELECT p.session_year::INTEGER AS session_year, p.session_law_chapter, CASE WHEN p.session_law_chapter IS NULL THEN 'non-specific-notice' WHEN r.status IS NULL THEN 'missing-session-result' WHEN r.status = 'parsed' THEN 'matched-parsed' ELSE 'matched-parser-error' END AS reconciliation_status
 FROM ({_PENDING}) p LEFT JOIN ({_RESULTS}) r ON r.session_year = p.session_year AND r.session_law_chapter = p.session_law_chapter"""
 
 

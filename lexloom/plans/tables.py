@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import keys, text
 from lexloom.operators import markup, quality, relational, search
+from lexloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -196,7 +197,7 @@ def diff_counts(t, spark):
 @query("""SELECT o_orderkey, CASE WHEN count(l_orderkey) = 0 THEN 'missing-result' WHEN bool_or(l_returnflag = 'R') THEN 'result-error' WHEN bool_and(l_linestatus = 'F') THEN 'matched' ELSE 'pending' END AS status
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def reconcile_status(t, spark):
-    """Notices against results, with one of four states."""
+    """Parents with the state that their children give them."""
     lines = t("lineitem").groupBy("l_orderkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("bad"), F.bool_and(F.col("l_linestatus") == "F").alias("done"))
     joined = t("orders").select("o_orderkey").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     status = F.when(F.col("l_orderkey").isNull(), "missing-result").when(F.col("bad"), "result-error").when(F.col("done"), "matched").otherwise("pending")
@@ -373,12 +374,8 @@ _ALL = "region nation customer supplier part orders lineitem events documents em
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _ALL))
 def dataset_info(t, spark):
-    """Row counts of all tables."""
-    counts = [t(n).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n in _ALL]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """K9 A1: row counts of all tables."""
+    return files.row_counts({name: t(name) for name in _ALL})
 
 
 @query("SELECT DISTINCT year(o_orderdate)::INTEGER AS session_year FROM orders")
@@ -401,7 +398,7 @@ def stable_ids(t, spark):
 
 @query("SELECT event_id, user_id, (props->>'$.k')::INTEGER AS k FROM events WHERE (props->>'$.k')::INTEGER >= 50")
 def json_props_filter(t, spark):
-    """Fields of JSON payloads, typed and filtered."""
+    """Fields of JSON payloads, typed and filtered."""
     k = F.get_json_object("props", "$.k").cast("int")
     return t("events").select("event_id", "user_id", k.alias("k")).filter("k >= 50")
 
