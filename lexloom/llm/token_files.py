@@ -15,10 +15,13 @@ Files go to the folder that driver and executors share, through Arrow's file sys
 
 from __future__ import annotations
 
+import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +39,53 @@ ROWS = 256
 REMEMBERED = 700_000
 #: Slots that tell whether a word may have come before.
 SLOTS = 1 << 22
+#: Bytes of text that are split at once; the last text may go beyond.
+BLOCK = 8 << 20
+
+
+def _bytes(members: bytes) -> np.ndarray:
+    """Whether each byte is a member."""
+    return np.isin(np.arange(256), list(members))
+
+
+_SPACE = _bytes(b" \t\n\r\x0b\x0c")
 #: Where an ASCII letter or digit meets other ASCII punctuation than an apostrophe, pieces end, so texts can be cut there.
-_CUT = re.compile(rb"(?<=[0-9A-Za-z])(?=[!-&(-/:-@\[-`{-~])")
+_ALNUM = _bytes(string.ascii_letters.encode() + string.digits.encode())
+_PUNCT = _bytes(string.punctuation.replace("'", "").encode())
 #: How a special token may begin; texts with it are not cut further than at white space.
 _SPECIAL = b"<|"
 
 _encoders: dict[tuple, WordEncoder] = {}
 
 
+def offsets(texts: pa.LargeBinaryArray) -> np.ndarray:
+    """Where each text begins in the array's bytes, and where the last one ends."""
+    if not len(texts):
+        return np.zeros(1, dtype=np.int64)
+    return np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+
+
+def split_words(texts: pa.LargeBinaryArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of all texts in a row, and how many there are up to the end of each text."""
+    at = offsets(texts)
+    text = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    space = _SPACE[text]
+    cut = _ALNUM[text[:-1]] & _PUNCT[text[1:]]
+    special = np.flatnonzero((text[:-1] == _SPECIAL[0]) & (text[1:] == _SPECIAL[1]))
+    for i in np.unique(np.searchsorted(at, special, side="right") - 1):
+        cut[at[i] : at[i + 1]] = False
+    first = np.ones(len(text), dtype=bool)
+    first[1:] = space[:-1] | cut
+    first[at[at < len(text)]] = True
+    first &= ~space
+    upto = np.searchsorted(np.flatnonzero(first), at[1:])
+    kept = text[~space]
+    starts = np.append(np.flatnonzero(first[~space]), len(kept))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(kept)])
+    return words, upto
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer file of the tokenizers library whose pre-tokenizer splits at white space.
 
@@ -65,21 +107,41 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian ids of each UTF-8 text."""
-        split = [(x if _SPECIAL in x else _CUT.sub(b" ", x)).split() for x in texts]
+        ids, ends = self.pack(pa.array(texts, pa.large_binary()))
+        return [x.tobytes() for x in np.split(ids, ends)[:-1]]
+
+    def pack(self, texts: pa.LargeBinaryArray, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all UTF-8 texts in a row, the packed ids ``end`` behind each text's, and where each text's end.
+
+        Words are split, told apart and replaced by their ids as whole arrays; only distinct ones become objects.
+        """
+        words, upto = split_words(texts)
+        coded = words.dictionary_encode()
+        packed = self._packed(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        places = np.insert(coded.indices.to_numpy(), upto, len(packed))
+        found = pa.array([*packed, end], pa.large_binary()).take(pa.array(places))
+        at = offsets(found)[np.insert(upto + np.arange(1, len(upto) + 1), 0, 0)] // self.type.itemsize
+        return np.frombuffer(found.buffers()[2] or b"", dtype=self.type, count=at[-1]), at[1:]
+
+    def _packed(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words."""
         if len(self.known) > REMEMBERED // 2:
             self.known, self.older, self.seen = {}, self.known, bytearray(SLOTS)
         known, older, seen = self.known, self.older, self.seen
-        missing = list(set().union(*split).difference(known))
-        known.update((w, older[w]) for w in missing if w in older)
-        new = [w for w in missing if w not in known]
-        known.update(zip(new, self._word_ids(new), strict=True))
-        packed = [b"".join(map(known.__getitem__, words)) for words in split]
-        for w in new:
-            slot = hash(w) % SLOTS
-            if not seen[slot]:
-                seen[slot] = 1
-                del known[w]
-        return packed
+        out = list(map(known.get, words))
+        new = []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            if (x := older.get(words[i])) is None:
+                new.append(i)
+            else:
+                known[words[i]] = out[i] = x
+        for i, x in zip(new, self._word_ids([words[i] for i in new]), strict=True):
+            out[i] = x
+            slot = hash(words[i]) % SLOTS
+            if seen[slot]:
+                known[words[i]] = x
+            seen[slot] = 1
+        return out
 
     def _word_ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of single words. Words of letters only are one piece each, so they are encoded many at a time: a piece
@@ -136,21 +198,22 @@ class SequenceWriter:
         self.schema, self.dtype, self.seq_len = sequence_schema(dtype, seq_len), dtype, seq_len
         self.out = pa.ipc.new_file(sink, self.schema)
         self.ids = np.zeros(ROWS * seq_len, dtype=dtype)
-        self.filled, self.ends = 0, []
+        self.filled, self.doc_ids, self.ends = 0, [], []
         self.n_docs = self.n_tokens = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.n_docs += 1
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Appends documents of at least one id each: the ids of all in a row, and where each document's end."""
+        self.n_docs += len(doc_ids)
         self.n_tokens += len(ids)
-        done = 0
+        done = told = 0
         while done < len(ids):
             n = min(len(ids) - done, len(self.ids) - self.filled)
-            at = slice(self.filled, self.filled + n)
-            self.ids[at] = ids[done : done + n]
+            self.ids[self.filled : self.filled + n] = ids[done : done + n]
+            upto = int(np.searchsorted(ends, done + n, side="right"))
+            self.doc_ids += doc_ids[told:upto].to_pylist()
+            self.ends += (ends[told:upto] - done + self.filled).tolist()
             self.filled += n
-            done += n
-            if done == len(ids):
-                self.ends.append((doc_id, self.filled))
+            done, told = done + n, upto
             if self.filled == len(self.ids):
                 self.flush()
 
@@ -158,16 +221,16 @@ class SequenceWriter:
         rows = -(-self.filled // self.seq_len)
         if rows:
             used = rows * self.seq_len
-            ends = np.array([end for _, end in self.ends], dtype=np.int32)
+            ends = np.array(self.ends, dtype=np.int32)
             rows_of = (ends - 1) // self.seq_len
             at = pa.array(np.searchsorted(rows_of, np.arange(rows + 1)), pa.int32())
-            doc_ids = pa.ListArray.from_arrays(at, pa.array([d for d, _ in self.ends], pa.int64()))
+            doc_ids = pa.ListArray.from_arrays(at, pa.array(self.doc_ids, pa.int64()))
             doc_ends = pa.ListArray.from_arrays(at, pa.array((ends - rows_of * self.seq_len).astype(np.int32)))
             mask = pa.array(np.arange(used) < self.filled)
             arrays = [pa.FixedSizeListArray.from_arrays(x, self.seq_len) for x in (pa.array(self.ids[:used].copy()), mask)]
             self.out.write_batch(pa.RecordBatch.from_arrays([*arrays, doc_ids, doc_ends], schema=self.schema))
         self.ids[:] = 0
-        self.filled, self.ends = 0, []
+        self.filled, self.doc_ids, self.ends = 0, [], []
 
     def close(self) -> None:
         self.flush()
@@ -176,8 +239,9 @@ class SequenceWriter:
 
 def _write_shards(out_dir: str, tokenizer: str, end_id: int, seq_len: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         encode = encoder(tokenizer)
-        end = np.array([end_id], dtype=encode.type)
+        end = np.array([end_id], dtype=encode.type).tobytes()
         shard = TaskContext.get().partitionId()
         fs, root = file_system(out_dir)
         fs.create_dir(root, recursive=True)
@@ -185,11 +249,11 @@ def _write_shards(out_dir: str, tokenizer: str, end_id: int, seq_len: int):
         with fs.open_output_stream(f"{root}/{name}") as sink:
             writer = SequenceWriter(sink, encode.type, seq_len)
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-                for start in range(0, len(ids), 1024):
-                    packed = encode.encode([x or b"" for x in texts[start : start + 1024].to_pylist()])
-                    for doc_id, x in zip(ids[start : start + 1024], packed, strict=True):
-                        writer.add(doc_id, np.concatenate([np.frombuffer(x, dtype=encode.type), end]))
+                texts = batch.column(1).cast(pa.binary()).cast(pa.large_binary()).fill_null(b"")
+                at = offsets(texts)
+                cuts = np.unique([0, *np.searchsorted(at, np.arange(at[0], at[-1], BLOCK)), len(texts)]).tolist()
+                for start, stop in pairwise(cuts):
+                    writer.add(batch.column(0)[start:stop], *encode.pack(texts[start:stop], end))
             writer.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
 

@@ -68,3 +68,51 @@ def test_word_memory_forgets_without_changing_results(monkeypatch):
     encode = token_files.WordEncoder(PATH)
     for r in rows()[:30]:
         assert np.frombuffer(encode.encode([(r[1] or "").encode()])[0], encode.type).tolist() == ids_of(r[1])[:-1]
+
+
+def test_words_are_looked_up_once_a_block(monkeypatch):
+    looked = []
+
+    class Counting(dict):
+        def get(self, word, default=None):
+            looked.append(word)
+            return super().get(word, default)
+
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    encode = token_files.WordEncoder(PATH)
+    encode.known = Counting()
+    text = "of that, the\nother Of thing " * 1000
+    packed = encode.encode([text.encode()] * 20)
+    assert {tuple(np.frombuffer(x, encode.type)) for x in packed} == {tuple(ids_of(text)[:-1])}
+    assert len(looked) < 100
+
+
+def test_blocks_equal_the_library():
+    texts = ["", None, " a  b", "x=y̸ z<|endoftext|>w,v", "a<", "|b", "été l'été don't!'s", "\t\n", "1,234.5-6 It's \x00 中文", "<|startoftext|>a,b", "a,b́ ,c"]
+    data = pa.array(["left out", *texts, "left out"], pa.large_string()).cast(pa.large_binary()).fill_null(b"")
+    encode = token_files.WordEncoder(PATH)
+    for _ in range(3):
+        ids, ends = encode.pack(data[1:-1], b"\2\0")
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [ids_of(x) for x in texts]
+    for data in (pa.array([], pa.large_binary()), pa.array([b""], pa.large_binary())):
+        ids, ends = encode.pack(data)
+        assert len(ids) == 0 and ends.tolist() == [0] * len(data)
+
+
+def test_documents_run_on_across_batches_of_the_file():
+    sink = pa.BufferOutputStream()
+    writer = token_files.SequenceWriter(sink, np.dtype("<u2"), 2)
+    sizes = [1, 3, 508, 512, 2000, 1, 7]
+    ids = np.arange(sum(sizes), dtype="<u2")
+    writer.add(pa.array([None, 1, 2, 3], pa.int64()), ids[:1024], np.cumsum(sizes[:4]))
+    writer.add(pa.array([4, 5, 6], pa.int64()), ids[1024:], np.cumsum(sizes[4:]))
+    writer.close()
+    reader = pa.ipc.open_file(sink.getvalue())
+    batches = [reader.get_batch(i) for i in range(reader.num_record_batches)]
+    assert np.concatenate([b.column(0).flatten().to_numpy() for b in batches])[: len(ids)].tolist() == ids.tolist()
+    assert [x for b in batches for x in b.column(2).flatten().to_pylist()] == [None, 1, 2, 3, 4, 5, 6]
+    at = [2 * (i + 256 * k) + e for k, b in enumerate(batches) for i, ends in enumerate(b.column(3).to_pylist()) for e in ends]
+    assert at == np.cumsum(sizes).tolist() and (writer.n_docs, writer.n_tokens) == (7, len(ids))
