@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
 
     None without labelled rows. A fold that is alone gets its scores from no rows: zeros, so its mean label.
     """
-    rows = written(training_rows(docs, labels, label, max_rows), "quality-training")
+    # max_rows short rows: few files, as on local disks Hadoop starts processes for each one, whose memory counts with the executor's
+    rows = written(training_rows(docs, labels, label, max_rows).repartition(SUMS), "quality-training")
     moments = [F.struct(F.avg(F.col("stats")[i]).alias("mean"), F.stddev_pop(F.col("stats")[i]).alias("sd")).alias(f"s{i}") for i in range(N_STATISTICS)]
     first = rows.agg(F.count("*").alias("n"), *moments).first()
     if not first["n"]:
@@ -215,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     omega = rng.standard_normal((N_STATISTICS, FEATURES)) / np.sqrt(N_STATISTICS)
     shape = Model(mean, scale, omega, rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(1), np.zeros(1))
     d = FEATURES + 1
-    dealt = rows.select("fold", "label", "stats").repartition(SUMS)
+    dealt = rows.select("fold", "label", "stats").coalesce(SUMS)
     parts = dealt.mapInArrow(_moment_batches(shape), "fold int, n long, gram binary, moment binary").collect()  # SUMS * 4 rows
     sample = rows.select("doc_id", "fold", "label", "stats").toArrow().sort_by("doc_id")  # max_rows rows
     x, folds = _matrix(sample.column("stats").combine_chunks()), sample.column("fold").to_numpy()

@@ -48,6 +48,22 @@ def test_fits_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
     assert all(np.array_equal(getattr(first, n), getattr(second, n)) for n in ("mean", "scale", "beta", "knots", "values"))
 
 
+def test_training_rows_are_whole_and_in_few_files_however_many_partitions_shuffles_have(spark, monkeypatch):
+    docs, labels = corpus(150)
+    made = []
+    monkeypatch.setattr(quality, "written", lambda df, name, f=quality.written: made.append(f(df, name)) or made[-1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("23", "false"), strict=True):
+            spark.conf.set(k, v)
+        assert quality.fit(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(made[0].inputFiles()) <= quality.SUMS
+    assert sorted(r.doc_id for r in made[0].collect()) == [i for i, *_ in labels if zlib.crc32(str(i).encode()) % 5]
+
+
 def test_few_labels_are_calibrated_by_other_folds(spark):
     docs, labels = corpus(12)
     model = quality.fit(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
