@@ -277,7 +277,9 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     repeated = written(known.filter("n > 1").select("doc_id"), "similar-repeated")
     # ids are told apart before texts are joined, so texts are shuffled once; only ids that don't name one row need keys
     once = docs.join(kept.filter("doc_id is not null").join(repeated, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(repeated, "doc_id", "left_semi").select(*columns).unionByName(docs.filter("doc_id is null")).withColumn(key, key_of(F.coalesce("text", F.lit(""))))
+    several = docs.join(repeated, "doc_id", "left_semi").select(*columns).unionByName(docs.filter("doc_id is null"))
+    # written, as a join on the key makes a filter on it that Spark moves below the join above: keys of all texts, by a second worker for each task
+    several = written(several.withColumn(key, key_of(F.coalesce("text", F.lit("")))), "similar-several")
     wanted = kept.select(F.col("doc_id").alias(id_), F.col("key").alias(kept_key))
     again = several.join(wanted, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(kept_key)), "left_semi")
     least = again.groupBy("doc_id", key).agg(F.min(F.struct("text", *[c for c in columns if c not in ("doc_id", "text")])).alias(row))

@@ -54,3 +54,10 @@ def test_deduplicate_keeps_each_group_of_rows_without_an_id_and_of_one_id(spark)
     some = [(None, a), (None, b), (None, b), (None, c), (7, c), (1, x), (1, y), (5, y), (9, None), (None, "")]
     got = similar.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in some])).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, a), (None, b), (7, c), (1, x), (1, y), (9, None)], key=str)
+
+
+def test_deduplicate_keys_only_texts_whose_id_does_not_name_one_row(spark):
+    some = [(None, "a b"), (7, "c d"), (7, "e f"), *[(i, f"{i} text") for i in range(10, 30)]]
+    plan = similar.deduplicate(frame(spark, [(i, t, *[None] * 8) for i, t in some]))._jdf.queryExecution().executedPlan().toString()
+    # a key's filter moved below the joins would run on every text, beside the column's own run: two workers a task
+    assert "EvalPython" not in plan
