@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Accented Latin letters and the letters that search takes them for (fixed values).
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: The space separators of Unicode (category Zs), which DuckDB's trim removes; Spark's removes U+0020 only (fixed values).
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
 
 def spaces(text: Column) -> Column:
@@ -30,9 +32,13 @@ def without_artifacts(text: Column) -> Column:
     return F.translate(text, "­\u0002", "")
 
 
-def hyphens_repaired(text: Column) -> Column:
-    """Words broken by a hyphen at a line's end joined again when the next line goes on in lower case."""
-    return F.regexp_replace(text, "(?<=[A-Za-z])-\n(?=[a-z])", "")
+def hyphens_repaired(text: Column, shared: bool = True) -> Column:
+    """Words broken by a hyphen at a line's end joined again when the next line goes on in lower case.
+
+    A line of one letter may end one break and begin the next; unless ``shared``, its letter serves the first only, as
+    where SQL replaces both letters with themselves.
+    """
+    return F.regexp_replace(text, "(?<=[A-Za-z])-\n(?=[a-z])", "") if shared else F.regexp_replace(text, "([A-Za-z])-\n([a-z])", "$1$2")
 
 
 def first_match(text: Column, pattern: str, group: int = 0) -> Column:
@@ -41,9 +47,9 @@ def first_match(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def first_sentence(text: Column) -> Column:
-    """Up to the first period and space, with one final period."""
-    head = F.trim(F.get(F.split(text, "\\. "), F.lit(0)))
-    return F.when(head.endswith("."), head).otherwise(F.concat(head, F.lit(".")))
+    """Up to the first period and space, without spaces around it, with one final period; empty if nothing is left."""
+    head = F.trim(F.get(F.split(text, "\\. "), F.lit(0)), F.lit(SPACES))
+    return F.when((head == "") | head.endswith("."), head).otherwise(F.concat(head, F.lit(".")))
 
 
 def sentences(text: Column) -> Column:

@@ -4,7 +4,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from lexloom.functions import text
 from lexloom.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,6 +35,20 @@ def test_equals_sql(spark, duck, name):
     assert plain(tuple(r) for r in got.select(*columns).collect()) == plain(want)
 
 
+def test_odd_texts_are_cleaned_as_in_sql(spark, tmp_path):
+    spaces = [" ", "\u00a0", "\u1680", "\u2003", "\u202f", "\u3000"]
+    texts = [None, "", " ", ".", ". ", ". a", " . a", "a.", "a. b", "a\n", "a.\n", "\n", "a\u0085", "a\u200b", "\ufeffa", "a\x00", "\t. a", "é", "😀", "x12 345\u00a06", "٣٤٥"]
+    texts += ["a-\nb", "a-\nb-\nc", "a-\nb-\nc-\nd", "Ab-\ncd-\nef", "a-\n-\nb", "é-\na", "a-\nB", "a-\r\nb"] + spaces + [x + "a" + x for x in spaces] + [x + ". a" for x in spaces]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = registry.QUERIES["text_cleaned"](spark, str(tmp_path))
+    want = connection.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.ORACLES['text_cleaned']}) AS oracle ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == want
+    repaired = spark.createDataFrame([("a-\nb-\nc",)], "t string").select(text.hyphens_repaired(F.col("t")), text.hyphens_repaired(F.col("t"), shared=False))
+    assert tuple(repaired.first()) == ("abc", "ab-\nc")
+
+
 def test_long_chains_and_cycles(spark):
     from lexloom.operators import relational
 
